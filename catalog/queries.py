@@ -663,7 +663,7 @@ def stream_readiness(spark: SparkSession, sf: str) -> DataFrame:
     """Log outcomes streamed through keyed state; the newest status per repository."""
     spark.conf.set(*live.STATE_STORE)
     work = scratch(spark)
-    files = spark.readStream.schema(L.table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet")
+    files = spark.readStream.schema(L.GIVEN["events"]).option("pathGlobFilter", "events.parquet")
     arriving = L.probes_of(files.parquet(sf))
     query = (
         live.readiness_stream(arriving, Settings())

@@ -12,14 +12,21 @@ ABSENT = r"^\s*(null|false|0|\"\"|\{\s*\}|\[\s*\])?\s*$"
 
 
 def is_human(actor: Column) -> Column:
-    """Actor JSON names a person: a non-empty object, not of the bot type, login without a bot ending."""
-    fields = F.from_json(actor, "map<string,string>")
+    """Actor JSON names a person: a non-empty object, not of the bot type, login without a bot ending.
+
+    The lambda binds the parsed object, so each actor is parsed once.
+    """
+    parsed = F.array(F.from_json(actor, "map<string,string>"))
+    return F.coalesce(F.exists(parsed, _names_a_person), F.lit(False))
+
+
+def _names_a_person(fields: Column) -> Column:
     login = F.lower(F.coalesce(fields.getItem("login"), F.lit("")))
     kind = F.lower(F.coalesce(fields.getItem("type"), F.lit("")))
     bot_login = F.lit(False)
     for ending in fv.BOT_LOGIN_ENDS:
         bot_login = bot_login | login.endswith(ending)
-    return F.coalesce((F.size(fields) > 0) & (kind != fv.BOT_TYPE) & ~bot_login, F.lit(False))
+    return (F.size(fields) > 0) & (kind != fv.BOT_TYPE) & ~bot_login
 
 
 def run_actor(triggering_actor: Column, actor: Column) -> Column:

@@ -20,14 +20,26 @@ def message_text(body: Column) -> Column:
     return F.coalesce(given(F.get_json_object(body, "$.message")), body)
 
 
+def denied_by_message(body: Column) -> Column:
+    """The message says that the Accept header or the rights of the caller do not do.
+
+    Most bodies hold neither text anywhere, and only those that do, or that have
+    an escape which may stand for a part of it, are parsed.
+    """
+    whole, message = F.lower(body), F.lower(message_text(body))
+    worth_parsing = (
+        whole.contains(fv.ADMIN_ONLY_TEXT) | whole.contains(fv.ACCEPT_REFUSED_TEXT) | body.contains("\\")
+    )
+    said = message.contains(fv.ADMIN_ONLY_TEXT) | message.contains(fv.ACCEPT_REFUSED_TEXT)
+    return F.coalesce(worth_parsing & said, F.lit(False))
+
+
 def github_code(status: Column, body: Column) -> Column:
     """Code of a first response to a workflow-run log request; the first match counts."""
-    message = F.lower(message_text(body))
     return (
         F.when(status == 302, REDIRECT)
         .when(status == 200, fv.LOG_OK)
-        .when(message.contains(fv.ACCEPT_REFUSED_TEXT), fv.LOG_AUTH)
-        .when(message.contains(fv.ADMIN_ONLY_TEXT), fv.LOG_AUTH)
+        .when(denied_by_message(body), fv.LOG_AUTH)
         .when(status == 404, fv.LOG_GONE)
         .when(status.isin(401, 403, 415), fv.LOG_AUTH)
         .otherwise(fv.LOG_ERROR)

@@ -27,49 +27,37 @@ JOB_ORDER = ("build_rank", "job_pos")
 
 
 def run_steps(pages: DataFrame) -> DataFrame:
-    """Landed run pages to steps: slug, page, pos, ``log_url`` or list event ``kind`` with ``detail``.
+    """Landed run pages to steps: slug, page, pos, ``kind``, ``detail``, ``log_url``.
 
-    A list event (failed, refused, missing or empty page) comes before the runs
-    of its page. Runs not worth a request give no step; a first page with none
-    leaves a marker so that its repository is not lost.
+    A page that failed, was refused, is missing or empty gives one list event
+    (with a ``kind`` and perhaps a ``detail``) in place of its runs. A run worth
+    a request gives a probe; other runs give none, but the first run of the
+    first page stays as an idle step so that no repository is lost.
     """
-    status, runs = F.col("status"), F.col("runs")
-
-    def event(kind: str, detail: Column | None = None) -> Column:
-        text = (F.lit(None) if detail is None else detail).cast("string")
-        return F.array(
-            F.struct(
-                F.lit(-1).alias("pos"), F.lit(kind).alias("kind"), text.alias("detail"),
-                F.lit(None).cast("string").alias("log_url"),
-            )
-        )
-
-    steps = F.transform(
-        runs,
-        lambda run, i: F.struct(
-            i.cast("int").alias("pos"),
-            F.when(
-                worth_a_request(run.logs_url, run_actor(run.triggering_actor, run.actor)), F.lit("probe")
-            ).alias("kind"),
-            F.lit(None).cast("string").alias("detail"),
-            run.logs_url.alias("log_url"),
-        ),
+    status, page, pos = F.col("status"), F.col("page"), F.col("pos")
+    failed = F.coalesce(F.col("request_failed"), F.lit(False))
+    listed = ~failed & F.coalesce(status == 200, F.lit(False))
+    # A page without runs to look at keeps one row, with no position.
+    rows = pages.select(
+        "slug", "page", "status", "error", failed.alias("failed"), F.posexplode_outer(F.when(listed, F.col("runs"))).alias("pos", "run")
     )
-    worthy = F.filter(steps, lambda step: step.kind.isNotNull())
-    no_step = F.filter(event("idle"), lambda step: F.col("page") == 1)
-    return (
-        pages.withColumn(
-            "_steps",
-            F.when(F.coalesce(F.col("request_failed"), F.lit(False)), event("list_failed", F.col("error")))
-            .when(status == 404, event("list_missing"))
-            .when(~F.coalesce(status == 200, F.lit(False)), event("list_refused", status))
-            .when((F.coalesce(F.size(runs), F.lit(0)) <= 0) & (F.col("page") == 1), event("list_empty"))
-            .when(F.coalesce(F.size(runs), F.lit(0)) <= 0, event("list_end"))
-            .when(F.size(worthy) > 0, worthy)
-            .otherwise(no_step),
-        )
-        .select("slug", "page", F.explode("_steps").alias("_step"))
-        .select("slug", "page", "_step.*")
+    worthy = worth_a_request(F.col("run.logs_url"), run_actor(F.col("run.triggering_actor"), F.col("run.actor")))
+    first = (page == 1) & (pos == 0)
+    kept = rows.filter(pos.isNull() | first | worthy)
+    kind = (
+        F.when(pos.isNull() & F.col("failed"), "list_failed")
+        .when(pos.isNull() & (status == 404), "list_missing")
+        .when(pos.isNull() & ~F.coalesce(status == 200, F.lit(False)), "list_refused")
+        .when(pos.isNull() & (page == 1), "list_empty")
+        .when(pos.isNull(), "list_end")
+        .when(~first, "probe")
+        .when(worthy, "probe")
+        .otherwise("idle")
+    )
+    return kept.select(
+        "slug", "page", F.coalesce(pos, F.lit(-1)).alias("pos"), kind.alias("kind"),
+        F.when(pos.isNull(), F.when(F.col("failed"), F.col("error")).otherwise(status.cast("string"))).alias("detail"),
+        F.when(~first | worthy, F.col("run.logs_url")).alias("log_url"),
     )
 
 
