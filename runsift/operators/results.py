@@ -83,19 +83,31 @@ def processed_per_pass(processed: DataFrame, pass_id: str = "pass_id") -> DataFr
     return per_pass.withColumn("total", F.sum("processed").over(so_far))
 
 
-def page_progress(steps: DataFrame, pages: DataFrame) -> DataFrame:
+def page_progress(steps: DataFrame, pages: DataFrame, slice_pages: int = 1000) -> DataFrame:
     """Runs per listed page and the good logs before it.
 
     ``steps`` are probed runs with their outcome, ``pages`` the listed pages.
-    Good logs are summed per page before pages are put in order.
+    The running sum is taken within slices of pages, so that a repository with
+    very many pages is spread over tasks; into each slice comes the sum of the
+    slices before it, of which there is one row per repository and slice.
     """
     good = steps.groupBy("slug", "page").agg(
         F.count_if(F.coalesce(F.col("outcome") == fv.LOG_OK, F.lit(False))).alias("_ok")
     )
-    before = Window.partitionBy("slug").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
-    return (
+    listed = (
         pages.select("slug", "page", F.coalesce(F.size("runs"), F.lit(0)).alias("runs"))
         .join(good, ["slug", "page"], "left")
-        .withColumn("ok_before", F.coalesce(F.sum(F.coalesce("_ok", F.lit(0))).over(before), F.lit(0)))
-        .drop("_ok")
+        .withColumns({"_ok": F.coalesce("_ok", F.lit(0)), "_slice": F.floor(F.col("page") / slice_pages)})
+    )
+    earlier = Window.partitionBy("slug").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        listed.groupBy("slug", "_slice")
+        .agg(F.sum("_ok").alias("_sum"))
+        .select("slug", "_slice", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_carried"))
+    )
+    before = Window.partitionBy("slug", "_slice").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        listed.withColumn("_before", F.coalesce(F.sum("_ok").over(before), F.lit(0)))
+        .join(carried, ["slug", "_slice"])
+        .select("slug", "page", "runs", (F.col("_before") + F.col("_carried")).alias("ok_before"))
     )

@@ -8,7 +8,7 @@ from collections import Counter
 from pathlib import Path
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 import __spark_entry__ as contract  # noqa: E402
@@ -27,9 +27,8 @@ def connect(sf: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def differences(spark: SparkSession, con, sf: str, name: str) -> str | None:
-    """A short account of what differs, or None."""
-    ours = contract.queries()[name](spark, sf)
+def differences(ours: DataFrame, con: duckdb.DuckDBPyConnection, name: str) -> str | None:
+    """A short account of what differs from the rows of the SQL, or None."""
     columns = sorted(ours.columns)
     theirs = con.execute(contract.oracle_sql()[name])
     their_columns = [d[0] for d in theirs.description]
@@ -61,7 +60,7 @@ if __name__ == "__main__":
     for name in wanted:
         start = time.time()
         try:
-            verdict = differences(spark, con, sf, name) or "same"
+            verdict = differences(contract.queries()[name](spark, sf), con, name) or "same"
         except Exception as exc:  # noqa: BLE001
             verdict = f"failed: {type(exc).__name__}: {str(exc)[:1500]}"
         print(f"{name:22s} {time.time() - start:6.1f}s {verdict}", flush=True)

@@ -222,5 +222,6 @@ def test_page_progress(spark):
     steps = spark.createDataFrame(
         [("a", 1, "ok"), ("a", 1, "ok"), ("a", 2, "gone"), ("a", 3, "ok")], "slug STRING, page INT, outcome STRING")
     pages = spark.createDataFrame([("a", p, [1] * p) for p in (1, 2, 3, 4)] + [("b", 1, None)], "slug STRING, page INT, runs ARRAY<INT>")
-    got = {(r.slug, r.page): (r.runs, r.ok_before) for r in results.page_progress(steps, pages).collect()}
-    assert got == {("a", 1): (1, 0), ("a", 2): (2, 2), ("a", 3): (3, 2), ("a", 4): (4, 3), ("b", 1): (0, 0)}
+    for slice_pages in (1, 2, 1000):
+        got = {(r.slug, r.page): (r.runs, r.ok_before) for r in results.page_progress(steps, pages, slice_pages).collect()}
+        assert got == {("a", 1): (1, 0), ("a", 2): (2, 2), ("a", 3): (3, 2), ("a", 4): (4, 3), ("b", 1): (0, 0)}
