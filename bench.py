@@ -16,7 +16,7 @@ from catalog.queries import QUERIES  # noqa: E402
 HEADLINE = [
     "readiness_gh", "readiness_gh_pages", "readiness_travis", "log_outcome_gh", "first_seen", "segment_match",
     "search_topk", "unseen_pairs", "upsert_results", "not_modified", "retry_cost", "quota_state",
-    "quota_state_memory", "entity_pages", "scan_pipeline",
+    "quota_state_memory", "entity_pages", "whole_scan",
 ]
 
 

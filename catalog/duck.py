@@ -283,7 +283,7 @@ FULL OUTER JOIN {prior} p ON n.slug = p.slug AND n.provider = p.provider"""
 
 # ---------------------------------------------------------------- request log
 PIECES["log"] = """
-SELECT event_id AS log_seq, event_id // 3 AS request_id, event_id % 3 AS retries_used, event_id AS ts,
+SELECT event_id AS log_seq, event_id // 3 AS request_id, event_id % 3 + 1 AS attempt, event_id AS ts,
   md5(CAST(user_id % 8 AS VARCHAR)) AS credential_hash,
   CASE WHEN user_id % 8 < 6 THEN 'github' ELSE 'travis' END AS pool,
   CASE WHEN event_type = 'purchase' THEN 'POST' ELSE 'GET' END AS method,
@@ -303,7 +303,9 @@ SELECT event_id AS log_seq, event_id // 3 AS request_id, event_id % 3 AS retries
 FROM events"""
 
 PIECES["log_flags"] = """
-SELECT *, coalesce(status = 429 OR (status = 403 AND remaining = 0), false) AS exhausted,
+SELECT *, least(2, count(*) FILTER (failed OR status >= 500) OVER (PARTITION BY request_id ORDER BY attempt
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS retries_used,
+  coalesce(status = 429 OR (status = 403 AND remaining = 0), false) AS exhausted,
   coalesce(status = 401, false) AS removes,
   coalesce(status > 400 AND status < 500 AND status <> 401 AND NOT (status = 403 AND remaining IS NOT DISTINCT FROM 0)
     AND body ILIKE '%spammy%', false) AS spam

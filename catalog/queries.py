@@ -373,11 +373,8 @@ def not_modified(spark: SparkSession, sf: str) -> DataFrame:
       ELSE 'return' END AS disposition, exhausted AS marks_exhausted FROM log_flags"""
 )
 def disposition(spark: SparkSession, sf: str) -> DataFrame:
-    log = L.request_log(spark, sf).withColumns(
-        {
-            "cache": F.expr("CASE WHEN log_seq % 4 < 2 THEN 'readable' WHEN log_seq % 4 = 2 THEN 'unreadable' ELSE 'none' END"),
-            "retries_used": F.col("attempt") - 1,
-        }
+    log = request_log.with_retries_used(L.request_log(spark, sf), TWO_RETRIES).withColumn(
+        "cache", F.expr("CASE WHEN log_seq % 4 < 2 THEN 'readable' WHEN log_seq % 4 = 2 THEN 'unreadable' ELSE 'none' END")
     )
     return request_log.with_dispositions(log, TWO_RETRIES).select("log_seq", "disposition", "marks_exhausted")
 
@@ -387,10 +384,10 @@ def disposition(spark: SparkSession, sf: str) -> DataFrame:
       WHEN status = 429 THEN 'wait_and_retry' WHEN status >= 500 AND retries_used < 2 THEN 'retry_server_error'
       ELSE 'return' END AS disposition,
     CASE WHEN status = 429 THEN CASE retry_after WHEN '0.2' THEN 1.0::DOUBLE WHEN '7' THEN 7.0::DOUBLE ELSE 300.0::DOUBLE END
-      END AS wait_seconds FROM log"""
+      END AS wait_seconds FROM log_flags"""
 )
 def disposition_travis(spark: SparkSession, sf: str) -> DataFrame:
-    log = L.request_log(spark, sf).withColumn("retries_used", F.col("attempt") - 1)
+    log = request_log.with_retries_used(L.request_log(spark, sf), TWO_RETRIES)
     return request_log.with_travis_dispositions(log, TWO_RETRIES).select("log_seq", "disposition", "wait_seconds")
 
 
@@ -405,7 +402,7 @@ def retry_cost(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register(
-    """SELECT log_seq, CASE retries_used WHEN 0 THEN 0.25::DOUBLE WHEN 1 THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS backoff,
+    """SELECT log_seq, CASE attempt WHEN 1 THEN 0.25::DOUBLE WHEN 2 THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS backoff,
     md5(url || ':' || coalesce(params, 'null')) AS request_key FROM log"""
 )
 def request_keys(spark: SparkSession, sf: str) -> DataFrame:
@@ -437,15 +434,15 @@ def quota_state_memory(spark: SparkSession, sf: str) -> DataFrame:
       CASE WHEN a.credential_hash IS NOT NULL THEN false ELSE s.disabled END AS disabled,
       CASE WHEN a.credential_hash IS NOT NULL THEN false ELSE s.removed END AS removed,
       s.remaining, s.reset_time, s.last_used, CASE WHEN a.credential_hash IS NOT NULL THEN CAST(77 AS BIGINT) END AS added_at
-    FROM stored_state s FULL OUTER JOIN (SELECT DISTINCT md5(CAST(user_id % 12 AS VARCHAR)) AS credential_hash FROM events
-      WHERE event_type = 'signup' AND user_id % 3 > 0) a ON s.credential_hash = a.credential_hash"""
+    FROM stored_state s FULL OUTER JOIN (SELECT DISTINCT md5(CAST(user_id % 12 + 4 AS VARCHAR)) AS credential_hash FROM events
+      WHERE event_type = 'signup') a ON s.credential_hash = a.credential_hash"""
 )
 def quota_reenable(spark: SparkSession, sf: str) -> DataFrame:
     state = quota.quota_state(L.request_log(spark, sf)).withColumn("added_at", F.lit(None).cast("bigint"))
     added = (
         L.table(spark, sf, "events")
-        .filter("event_type = 'signup' AND user_id % 3 > 0")
-        .selectExpr("md5(cast(user_id % 12 AS string)) AS credential_hash", "'github' AS pool")
+        .filter("event_type = 'signup'")
+        .selectExpr("md5(cast(user_id % 12 + 4 AS string)) AS credential_hash", "'github' AS pool")
         .distinct()
     )
     return quota.enable_credentials(state, added, F.lit(77).cast("bigint"))
@@ -642,7 +639,7 @@ def landed_tables(spark: SparkSession, sf: str, settings: Settings) -> Landed:
 
 
 @register(duck.scanned("prior"))
-def scan_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+def whole_scan(spark: SparkSession, sf: str) -> DataFrame:
     tables = landed_tables(spark, sf, FEW_BUILDS)
     return _flat(scan(tables, L.prior_results(spark, sf), FEW_BUILDS, F.expr(CHECKED_AT)))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runsift.functions.requests import (
@@ -13,6 +13,7 @@ from runsift.functions.requests import (
     travis_disposition,
 )
 from runsift.functions.text import given, request_key
+from runsift.operators.first_rows import first_rows
 from runsift.settings import Settings
 
 
@@ -72,10 +73,33 @@ def fill_not_modified(log: DataFrame, slice_seconds: int = 3600) -> DataFrame:
     return own.unionByName(filled.select(*own.columns))
 
 
+def counts_as_failure() -> Column:
+    """Attempts that use up a retry: failed ones and 5xx answers."""
+    return F.coalesce(F.col("failed"), F.lit(False)) | F.coalesce(F.col("status") >= 500, F.lit(False))
+
+
+def with_retries_used(log: DataFrame, settings: Settings) -> DataFrame:
+    """Adds ``retries_used``: failures before each attempt of its request, counted up to ``retry_count``.
+
+    More than that makes no difference to what follows, so only the first few
+    failures of each request are kept and joined back.
+    """
+    failures = first_rows(
+        log.filter(counts_as_failure()).select("request_id", "attempt"), ["request_id"], ["attempt"], settings.retry_count
+    )
+    early = failures.groupBy("request_id").agg(F.collect_list("attempt").alias("_failed_at"))
+    before = F.size(F.filter("_failed_at", lambda at: at < F.col("attempt")))
+    return (
+        log.join(early, "request_id", "left")
+        .withColumn("retries_used", F.coalesce(before, F.lit(0)))
+        .drop("_failed_at")
+    )
+
+
 def with_dispositions(log: DataFrame, settings: Settings) -> DataFrame:
     """Adds ``disposition`` and ``marks_exhausted`` to client requests.
 
-    Needs ``cache`` (readable, unreadable, none) and ``retries_used``.
+    Needs ``cache`` (readable, unreadable, none) and ``retries_used`` (:func:`with_retries_used`).
     """
     return log.withColumns(
         {
@@ -114,9 +138,8 @@ def retry_costs(log: DataFrame, settings: Settings) -> DataFrame:
     Only 5xx answers and failed attempts count. The waits form a geometric
     series, so a count is all that has to be summed up.
     """
-    counts = F.coalesce(F.col("failed"), F.lit(False)) | F.coalesce(F.col("status") >= 500, F.lit(False))
     totals = log.groupBy("request_id").agg(
-        F.count("*").alias("attempts"), F.count_if(counts).alias("failures")
+        F.count("*").alias("attempts"), F.count_if(counts_as_failure()).alias("failures")
     )
     retries = F.least(F.col("failures"), F.lit(settings.retry_count))
     return totals.withColumns(

@@ -121,6 +121,15 @@ def test_retry_costs(spark):
     assert got == {1: (1, 0, 0.0, False), 2: (3, 2, 0.75, False), 3: (4, 4, 1.75, True), 4: (2, 1, 0.25, False)}
 
 
+def test_retries_used(spark):
+    statuses = [503, 200, None, 500, 503, 200]
+    rows = [{"request_id": 1, "attempt": n + 1, "status": s, "failed": s is None} for n, s in enumerate(statuses)]
+    rows += [{"request_id": 2, "attempt": 1, "status": 200}]
+    got = {(r.request_id, r.attempt): r.retries_used for r in
+           request_log.with_retries_used(log_frame(spark, rows), Settings(retry_count=2)).collect()}
+    assert got == {(1, 1): 0, (1, 2): 1, (1, 3): 1, (1, 4): 2, (1, 5): 2, (1, 6): 2, (2, 1): 0}
+
+
 def test_quota_in_memory_moves_only_past_resets(spark):
     rows = [{"log_seq": i, "ts": t, "credential_hash": "h", "pool": "p", "status": 429} for i, t in enumerate((1000, 1030, 1061))]
     one = quota.quota_state_in_memory(log_frame(spark, rows[:2])).first()
