@@ -326,10 +326,12 @@ def duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     """SELECT pass_id, processed, CAST(sum(processed) OVER (ORDER BY pass_id) AS BIGINT) AS total
-    FROM (SELECT o_orderkey // 700 AS pass_id, count(*) AS processed FROM orders GROUP BY 1)"""
+    FROM (SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS pass_id, count(*) AS processed FROM orders GROUP BY 1)"""
 )
 def pass_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return results.processed_per_pass(L.table(spark, sf, "orders").selectExpr("o_orderkey div 700 AS pass_id"))
+    """One pass per day of the order table."""
+    handled = L.table(spark, sf, "orders").selectExpr("cast(cast(o_orderdate AS date) AS string) AS pass_id")
+    return results.processed_per_pass(handled)
 
 
 @register(
@@ -681,7 +683,7 @@ def stream_results(spark: SparkSession, sf: str) -> DataFrame:
     L.repo_pages(spark, sf).write.parquet(f"{work}/landing")
     pages = read_landed_stream(spark, "repo_pages", f"{work}/landing")
     query = passes.run_passes(
-        pages, landed_tables(spark, sf, FEW_BUILDS), f"{work}/results", f"{work}/checkpoint", FEW_BUILDS,
+        pages, lambda: landed_tables(spark, sf, FEW_BUILDS), f"{work}/results", f"{work}/checkpoint", FEW_BUILDS,
         F.expr(CHECKED_AT), once=True,
     )
     query.awaitTermination()

@@ -76,7 +76,7 @@ def duplicate_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 def processed_per_pass(processed: DataFrame, pass_id: str = "pass_id") -> DataFrame:
     """Repositories handled per pass and the total so far.
 
-    The running total is taken over one row per pass.
+    The running total is taken over one row per pass, and passes are minutes apart at least.
     """
     per_pass = processed.groupBy(pass_id).agg(F.count("*").alias("processed"))
     so_far = Window.orderBy(pass_id).rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -15,14 +15,19 @@ from runsift.functions.text import any_of, given, search_string, strip
 from runsift.settings import Settings
 
 
+def iso_date(value: Column) -> Column:
+    """The date of a whole ISO date or time; null for anything else, shortened dates too."""
+    text = strip(value.cast("string"))
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}($|[T ])"), text.try_cast("date"))
+
+
 def weekly_segments(ranges: DataFrame, start: str = "range_start", end: str = "range_end") -> DataFrame:
     """Seven-day segments over each range, both ends inclusive, the last one cut short.
 
     ``start`` and ``end`` are ISO texts or dates. A range with a bad date, or
     one that ends before it starts, gives no segment.
     """
-    first = F.col(start).try_cast("date")
-    last = F.col(end).try_cast("date")
+    first, last = iso_date(F.col(start)), iso_date(F.col(end))
     ordered = ranges.filter(F.coalesce(first <= last, F.lit(False)))
     weeks = F.sequence(first, last, F.expr(f"INTERVAL {fv.SEGMENT_DAYS} DAYS"))
     return (

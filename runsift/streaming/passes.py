@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from runsift.operators.quota import merge_quota, quota_state
@@ -17,7 +17,7 @@ from runsift.sources.results import read_results, write_results
 
 def run_passes(
     repo_pages: DataFrame,
-    landed: Landed,
+    landed: Callable[[], Landed],
     results_base: str,
     checkpoint: str,
     settings: Settings,
@@ -27,6 +27,8 @@ def run_passes(
 ) -> StreamingQuery:
     """Scan each micro-batch of landed search pages and write a new version of the result table.
 
+    ``landed`` reads the other landed tables; it is called in every pass, so that
+    a pass sees what has landed since the one before.
     A pass reads the version before its own batch number, so a batch that is run
     again after a failure gives the same version again. Repositories processed in
     an earlier pass are left out through the result table; duplicates within a
@@ -35,7 +37,7 @@ def run_passes(
 
     def one_pass(batch: DataFrame, batch_id: int) -> None:
         results = read_results(batch.sparkSession, results_base, RESULTS, before=batch_id)
-        tables = replace(landed, repo_pages=batch)
+        tables = replace(landed(), repo_pages=batch)
         write_results(scan(tables, results, settings, checked_at, limit), results_base, batch_id)
 
     return _start(repo_pages, one_pass, checkpoint, settings, once)

@@ -15,7 +15,7 @@ def test_weekly_segments(spark):
     ranges = [
         ("one-day", "2020-01-01", "2020-01-01"), ("backwards", "2020-01-02", "2020-01-01"), ("seven", "2020-01-01", "2020-01-07"),
         ("eight", "2020-01-01", "2020-01-08"), ("bad", "soon", "2020-01-08"), ("none", None, "2020-01-08"),
-        ("long", "2018-12-01", "2024-11-30"),
+        ("long", "2018-12-01", "2024-11-30"), ("short-form", "2020", "2020-02"), ("no-day", "2020-02-31", "2020-03-02"),
     ]
     got = worklist.weekly_segments(spark.createDataFrame(ranges, "name STRING, range_start STRING, range_end STRING")).collect()
     by_name = {}
