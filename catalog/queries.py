@@ -431,13 +431,16 @@ def quota_state_memory(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register(
-    """SELECT coalesce(s.credential_hash, a.credential_hash) AS credential_hash,
-      CASE WHEN a.credential_hash IS NOT NULL THEN 'github' ELSE s.pool END AS pool,
-      CASE WHEN a.credential_hash IS NOT NULL THEN false ELSE s.disabled END AS disabled,
-      CASE WHEN a.credential_hash IS NOT NULL THEN false ELSE s.removed END AS removed,
-      s.remaining, s.reset_time, s.last_used, CASE WHEN a.credential_hash IS NOT NULL THEN CAST(77 AS BIGINT) END AS added_at
-    FROM stored_state s FULL OUTER JOIN (SELECT DISTINCT md5(CAST(user_id % 12 + 4 AS VARCHAR)) AS credential_hash FROM events
-      WHERE event_type = 'signup') a ON s.credential_hash = a.credential_hash"""
+    """SELECT coalesce(s.credential_hash, a.credential_hash) AS credential_hash, coalesce(s.pool, a.pool) AS pool,
+      CASE WHEN a.pool IS NOT NULL THEN false ELSE s.disabled END AS disabled,
+      CASE WHEN a.pool IS NOT NULL THEN false ELSE s.removed END AS removed,
+      CASE WHEN a.pool IS NULL OR NOT s.removed THEN s.remaining END AS remaining,
+      CASE WHEN a.pool IS NULL OR NOT s.removed THEN s.reset_time END AS reset_time,
+      CASE WHEN a.pool IS NULL OR NOT s.removed THEN s.last_used END AS last_used,
+      CASE WHEN a.pool IS NOT NULL THEN CAST(77 AS BIGINT) END AS added_at
+    FROM stored_state s FULL OUTER JOIN (
+      SELECT DISTINCT md5(CAST(user_id % 12 + 4 AS VARCHAR)) AS credential_hash, 'github' AS pool FROM events
+      WHERE event_type = 'signup') a ON s.credential_hash = a.credential_hash AND s.pool = a.pool"""
 )
 def quota_reenable(spark: SparkSession, sf: str) -> DataFrame:
     state = quota.quota_state(L.request_log(spark, sf)).withColumn("added_at", F.lit(None).cast("bigint"))

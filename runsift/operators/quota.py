@@ -119,17 +119,22 @@ def merge_quota(stored: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def enable_credentials(state: DataFrame, added: DataFrame, now: Column, enable: bool = True) -> DataFrame:
-    """Add credentials to their pool, or enable known ones again; their quota stays."""
+    """Add credentials to their pool, or enable known ones again, whose quota stays.
+
+    A removed credential is no longer known: added again, it starts afresh.
+    """
+    given = ["disabled", "removed", "added_at"]
     updates = added.select(
-        "credential_hash",
-        "pool",
+        *KEYS,
         F.lit(not enable).alias("disabled"),
         F.lit(False).alias("removed"),
         now.alias("added_at"),
-        F.array(*[F.lit(c) for c in ("pool", "disabled", "removed", "added_at")]).alias("set_fields"),
+        F.array(*[F.lit(c) for c in given]).alias("set_fields"),
         F.lit(0).alias("seq"),
     )
-    return upsert(state, updates, ["credential_hash"])
+    known = is_enabled(F.col("removed"))
+    still_removed = state.filter(~known).join(added.select(*KEYS).distinct(), KEYS, "left_anti")
+    return upsert(state.filter(known), updates, KEYS).unionByName(still_removed)
 
 
 def quota_pick(state: DataFrame, now: Column, stored: bool = True) -> DataFrame:

@@ -22,6 +22,8 @@ from runsift.functions.text import travis_log_address
 from runsift.operators.first_rows import thin_hot_keys
 from runsift.settings import Settings
 
+# Kinds of steps that end a list of runs, whatever comes after.
+LIST_EVENTS = ("list_failed", "list_missing", "list_refused", "list_empty", "list_end")
 RUN_ORDER = ("page", "pos")
 JOB_ORDER = ("build_rank", "job_pos")
 
@@ -104,7 +106,7 @@ def fold_runs(
 
     full_run = F.col("bad_run") >= settings.failure_limit
     reason = (
-        F.when(F.col("kind").isin("list_failed", "list_missing", "list_refused", "list_empty", "list_end"), F.col("kind"))
+        F.when(F.col("kind").isin(*LIST_EVENTS), F.col("kind"))
         .when(outcome == fv.LOG_AUTH, "denied")
         .when(full_run & (outcome == fv.LOG_GONE), "gone_run")
         .when(full_run & (outcome == fv.LOG_ERROR), "error_run")

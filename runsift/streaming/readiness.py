@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from runsift import fixed_values as fv
+from runsift.operators.readiness import LIST_EVENTS
 from runsift.settings import Settings
 
 STATE = "ok LONG, bad LONG, seq LONG, status STRING"
@@ -23,9 +24,10 @@ OUTPUT = "slug STRING, kind STRING, seq LONG, outcome STRING, status STRING, bui
 
 
 class ReadinessProcessor(StatefulProcessor):
-    def __init__(self, min_builds: int, failure_limit: int) -> None:
-        self.min_builds = min_builds
-        self.failure_limit = failure_limit
+    def __init__(self, settings: Settings) -> None:
+        self.min_builds = settings.min_builds
+        self.failure_limit = settings.failure_limit
+        self.step_bound = settings.step_bound
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("readiness", STATE)
@@ -34,32 +36,38 @@ class ReadinessProcessor(StatefulProcessor):
         ok, bad, last, status = self.state.get() if self.state.exists() else (0, 0, -1, None)
         newest = last
         # The earliest steps of the batch decide, as many as a stop can need.
-        first = pd.DataFrame({"seq": pd.Series(dtype="int64"), "outcome": pd.Series(dtype="object")})
+        first = None
         for chunk in rows:
             late = chunk[chunk["seq"] <= last]
             if len(late):
                 yield self._rows(key[0], "late", late["seq"], late["outcome"], status, ok)
-            fresh = chunk.loc[chunk["seq"] > last, ["seq", "outcome"]]
+            fresh = chunk.loc[chunk["seq"] > last, ["seq", "outcome", "kind"]]
             if len(fresh):
                 newest = max(newest, int(fresh["seq"].max()))
                 if status is None:
-                    first = pd.concat([first, fresh]).nsmallest(self.min_builds * self.failure_limit, "seq")
+                    so_far = fresh if first is None else pd.concat([first, fresh])
+                    first = so_far.nsmallest(self.step_bound, "seq")
         if newest == last:
             return
         seq = newest
-        for step, outcome in zip(first["seq"], first["outcome"]):
-            ok, bad, status = self._advance(ok, bad, outcome)
-            if status is not None:
-                seq = int(step)
-                break
+        if first is not None:
+            for step, outcome, kind in first.itertuples(index=False):
+                ok, bad, status = self._advance(ok, bad, outcome, kind)
+                if status is not None:
+                    seq = int(step)
+                    break
         self.state.update((ok, bad, newest, status))
         yield self._rows(key[0], "status", [seq], [None], status or fv.INSUFFICIENT, ok)
 
-    def _advance(self, ok: int, bad: int, outcome: str) -> tuple[int, int, str | None]:
+    def _advance(self, ok: int, bad: int, outcome: str | None, kind: str | None) -> tuple[int, int, str | None]:
+        if kind in LIST_EVENTS:
+            return ok, bad, fv.GITHUB_REASONS[kind][0]
         if outcome == fv.LOG_OK:
             return ok + 1, 0, fv.READY if ok + 1 >= self.min_builds else None
         if outcome == fv.LOG_AUTH:
             return ok, bad, fv.AUTH_FAILED
+        if outcome not in (fv.LOG_GONE, fv.LOG_ERROR):
+            return ok, bad, None
         full = bad + 1 >= self.failure_limit
         named = fv.LOGS_GONE if outcome == fv.LOG_GONE else fv.ERROR
         return ok, bad + 1, named if full else None
@@ -77,12 +85,14 @@ class ReadinessProcessor(StatefulProcessor):
 def readiness_stream(probes: DataFrame, settings: Settings) -> DataFrame:
     """Stream of ``slug``, ``seq``, ``outcome`` to status rows (newest per slug counts) and late rows.
 
+    An optional ``kind`` tells list events, which close a repository as in a batch.
     Needs the RocksDB state store (:data:`STATE_STORE`). A status without a
     verdict reads ``insufficient``, as if the list ended here.
     """
-    processor = ReadinessProcessor(settings.min_builds, settings.failure_limit)
+    processor = ReadinessProcessor(settings)
+    kind = F.col("kind") if "kind" in probes.columns else F.lit(None).cast("string").alias("kind")
     return (
-        probes.select("slug", "seq", "outcome")
+        probes.select("slug", "seq", "outcome", kind)
         .groupBy("slug")
         .transformWithStateInPandas(
             statefulProcessor=processor, outputStructType=OUTPUT, outputMode="Update", timeMode="None"

@@ -187,10 +187,11 @@ def test_quota_reports(spark):
     assert got == {"open": (2, "aaaaaaaaaa2", 20, None, "available"), "dry": (2, None, None, 51.0, "wait"), "off": (0, None, None, None, "none active")}
     listed = {(r.credential, r.disabled, r.cool_down, r.last_used) for r in quota.quota_inventory(state, "open", F.lit(100)).collect()}
     assert ("aaaa...aaa2", False, "1970-01-01T00:08:20Z", "Never") in listed and len(listed) == 4
-    added = spark.createDataFrame([("d", "off"), ("new", "off")], "credential_hash STRING, pool STRING")
-    enabled = {r.credential_hash: (r.disabled, r.remaining, r.added_at) for r in
-               quota.enable_credentials(state, added, F.lit(100).cast("bigint")).filter("pool = 'off'").collect()}
-    assert enabled == {"d": (False, 10, 100), "new": (False, None, 100)}
+    added = spark.createDataFrame([("d", "off"), ("new", "off"), ("aaaaaaaaaa4", "open")], "credential_hash STRING, pool STRING")
+    enabled = {r.credential_hash: (r.disabled, r.removed, r.remaining, r.added_at) for r in
+               quota.enable_credentials(state, added, F.lit(100).cast("bigint")).collect()}
+    assert len(enabled) == 8 and enabled["d"] == (False, False, 10, 100) and enabled["new"] == (False, False, None, 100)
+    assert enabled["aaaaaaaaaa4"] == (False, False, None, 100) and enabled["aaaaaaaaaa3"] == (True, False, 4000, 1)
 
 
 PAGES = LANDED["api_pages"]

@@ -17,7 +17,7 @@ from runsift.streaming import passes
 from runsift.streaming import readiness as live
 
 SF = "/root/testdata/sf0.001"
-PROBE = "slug STRING, seq LONG, outcome STRING"
+PROBE = "slug STRING, seq LONG, outcome STRING, kind STRING"
 def checked():
     return F.lit("2024-02-01").cast("timestamp")
 
@@ -44,17 +44,23 @@ def test_readiness_stream_equals_batch_in_any_split(spark, tmp_path):
     batches = [[], [], [], []]
     for slug, seq in cases.items():
         for i, outcome in enumerate(seq):
-            batches[sum(i >= c for c in cuts)].append((slug, i, outcome))
+            batches[sum(i >= c for c in cuts)].append((slug, i, outcome, None))
+        if rnd.random() < 0.5:
+            event = rnd.choice(["list_end", "list_failed", "list_missing", "list_refused"])
+            batches[3].append((slug, 30, None, event))
+            batches[3].append((slug, 31, "ok", None))
     for batch in batches:
         rnd.shuffle(batch)
     streamed = live.current_status(run_readiness(spark, str(tmp_path), [b for b in batches if b], chosen))
     whole = readiness.fold_runs(spark.createDataFrame(sum(batches, []), PROBE), chosen)
+    assert whole.select("status").distinct().count() >= 5
     assert {tuple(r) for r in streamed.select("slug", "status", "builds_found").collect()} == {
         tuple(r) for r in whole.select("slug", "status", "builds_found").collect()}
 
 
 def test_late_steps_change_nothing_and_are_put_out(spark, tmp_path):
-    batches = [[("a", 5, "ok"), ("a", 6, "ok")], [("a", 6, "auth"), ("a", 2, "gone"), ("a", 7, "ok")]]
+    first = [("a", 5, "ok", None), ("a", 6, "ok", None)]
+    batches = [first, [("a", 6, "auth", None), ("a", 2, "gone", None), ("a", 7, "ok", None)]]
     rows = run_readiness(spark, str(tmp_path), batches, Settings(min_builds=3)).collect()
     assert {(r.seq, r.outcome) for r in rows if r.kind == "late"} == {(6, "auth"), (2, "gone")}
     assert max((r.seq, r.status, r.builds_found) for r in rows if r.kind == "status") == (7, "ready", 3)
