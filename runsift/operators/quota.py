@@ -112,7 +112,9 @@ def _next_reset(reset: Column, step: Column) -> Column:
 def merge_quota(stored: DataFrame, batch: DataFrame) -> DataFrame:
     """Stored quota rows with the fold of a later piece of the log laid over them."""
     newer = batch.select(*KEYS, *[F.col(c).alias(f"_{c}") for c in batch.columns if c not in KEYS])
-    sticky = {c: F.coalesce(F.col(c), F.lit(False)) | F.coalesce(F.col(f"_{c}"), F.lit(False)) for c in ("disabled", "removed")}
+    sticky = {
+        c: F.coalesce(F.col(c), F.lit(False)) | F.coalesce(F.col(f"_{c}"), F.lit(False)) for c in ("disabled", "removed")
+    }
     latest = {c: F.coalesce(F.col(f"_{c}"), F.col(c)) for c in ("remaining", "reset_time", "last_used")}
     merged = stored.join(newer, KEYS, "full_outer").withColumns({**sticky, **latest})
     return merged.select(*stored.columns)

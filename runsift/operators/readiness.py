@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runsift import fixed_values as fv
@@ -41,7 +41,8 @@ def run_steps(pages: DataFrame) -> DataFrame:
     listed = ~failed & F.coalesce(status == 200, F.lit(False))
     # A page without runs to look at keeps one row, with no position.
     rows = pages.select(
-        "slug", "page", "status", "error", failed.alias("failed"), F.posexplode_outer(F.when(listed, F.col("runs"))).alias("pos", "run")
+        "slug", "page", "status", "error", failed.alias("failed"),
+        F.posexplode_outer(F.when(listed, F.col("runs"))).alias("pos", "run"),
     )
     worthy = worth_a_request(F.col("run.logs_url"), run_actor(F.col("run.triggering_actor"), F.col("run.actor")))
     first = (page == 1) & (pos == 0)

@@ -5,9 +5,9 @@ G1, G2, F4, F11, A9, X2, X3, J1, J2, P12.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runsift import fixed_values as fv
@@ -56,6 +56,30 @@ def normalise_segments(raw: DataFrame) -> DataFrame:
     ).filter(F.col("segment_from").isNotNull() & F.col("segment_to").isNotNull())
 
 
+def settings_segments(spark: SparkSession, settings: Settings) -> DataFrame | None:
+    """Segments the settings ask for: the written ones, else weekly ones over the range, else none at all."""
+    written = [
+        (i, {str(k): str(v) for k, v in s.items() if v} if isinstance(s, Mapping) else None,
+         None if isinstance(s, Mapping) else [str(end) for end in s])
+        for i, s in enumerate(settings.search_segments)
+    ]
+    explicit = normalise_segments(
+        spark.createDataFrame(written, "ordinal INT, fields MAP<STRING, STRING>, pair ARRAY<STRING>")
+    ).select(
+        F.col("ordinal").alias("seg_idx"),
+        iso_date(F.col("segment_from")).alias("segment_from"),
+        iso_date(F.col("segment_to")).alias("segment_to"),
+    )
+    ends = [(settings.segment_start, settings.segment_end)]
+    weekly = weekly_segments(spark.createDataFrame(ends, "range_start STRING, range_end STRING")).select(
+        "seg_idx", "segment_from", "segment_to"
+    )
+    for segments in (explicit, weekly):
+        if not segments.isEmpty():
+            return segments
+    return None
+
+
 def work_list(
     segments: DataFrame | None, languages: Column | Sequence[str], settings: Settings, base: DataFrame | None = None
 ) -> DataFrame:
@@ -71,7 +95,7 @@ def work_list(
     if segments is None:
         null_date = F.lit(None).cast("date")
         segments = base.select(F.lit(0).alias("seg_idx"), null_date.alias("segment_from"), null_date.alias("segment_to"))
-    pages = F.sequence(F.lit(1), F.lit(settings.search_pages)) if settings.search_pages >= 1 else F.array().cast("array<int>")
+    pages = F.array(*[F.lit(page) for page in range(1, settings.search_pages + 1)]).cast("array<int>")
     return (
         segments.select("seg_idx", "segment_from", "segment_to", F.posexplode(languages).alias("lang_idx", "lang"))
         .select("*", F.explode(pages).alias("page"))

@@ -20,6 +20,8 @@ class Settings:
     search_pages: int = fv.SEARCH_PAGES
     min_stars: int = fv.MIN_STARS
     updated_since: str = fv.UPDATED_SINCE
+    # Date segments as written: mappings with two ends, or pairs.
+    search_segments: tuple[object, ...] = ()
     segment_start: str = ""
     segment_end: str = ""
     retry_count: int = fv.RETRY_COUNT
@@ -39,6 +41,8 @@ class Settings:
             raise ValueError("failure_limit must be at least 1")
         if isinstance(self.languages, str):
             raise ValueError("languages must be a list, not one string")
+        if isinstance(self.search_segments, str) or any(isinstance(s, str) for s in self.search_segments):
+            raise ValueError("a segment has two ends; one string is none")
 
     @classmethod
     def from_mapping(cls, raw: Mapping[str, object]) -> "Settings":
@@ -47,6 +51,8 @@ class Settings:
         given = {k: v for k, v in raw.items() if k in known}
         if isinstance(given.get("languages"), list):
             given["languages"] = tuple(str(item) for item in given["languages"])
+        if isinstance(given.get("search_segments"), list):
+            given["search_segments"] = tuple(given["search_segments"])
         return cls(**given)
 
     @property

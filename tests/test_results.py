@@ -239,8 +239,8 @@ def test_languages_graphql_and_names(spark):
 
 
 def test_settings():
-    raw = {"min_builds": 4, "languages": ["C", 3], "max_workers": 5, "mongo_uri": "x"}
+    raw = {"min_builds": 4, "languages": ["C", 3], "max_workers": 5, "another": "x"}
     assert Settings.from_mapping(raw) == Settings(min_builds=4, languages=("C", "3"))
-    for bad in ({"min_builds": 0}, {"languages": "Java"}):
+    for bad in ({"min_builds": 0}, {"languages": "Java"}, {"search_segments": ["2018-12-01"]}):
         with pytest.raises(ValueError):
             Settings.from_mapping(bad)

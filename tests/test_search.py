@@ -3,8 +3,6 @@
 import random
 from datetime import date, datetime
 
-from pyspark.sql import functions as F
-
 from runsift import Settings
 from runsift.operators import discover, providers, worklist
 
@@ -40,6 +38,20 @@ def test_segment_forms(spark):
     assert got == {1: ("a", "b"), 2: ("a", "b"), 3: ("a", "b"), 4: ("a", "b"), 8: ("s", "b")}
 
 
+def test_segments_of_settings(spark):
+    def shown(**given):
+        segments = worklist.settings_segments(spark, Settings.from_mapping(given))
+        return segments and [(str(r.segment_from), str(r.segment_to)) for r in segments.orderBy("seg_idx").collect()]
+
+    week = {"segment_start": "2020-01-01", "segment_end": "2020-01-08"}
+    assert shown() is None
+    assert shown(**week) == [("2020-01-01", "2020-01-07"), ("2020-01-08", "2020-01-08")]
+    written = [{"start": "2021-02-01", "to": "2021-02-03"}, ["2021-01-01", "2021-01-02"], {"from": "2021-01-01"}]
+    assert shown(search_segments=written, **week) == [("2021-02-01", "2021-02-03"), ("2021-01-01", "2021-01-02")]
+    assert shown(search_segments=[{"from": "2021-01-01"}], **week) == shown(**week)
+    assert shown(segment_start="soon", segment_end="2020-01-08") is None
+
+
 def test_work_list(spark):
     segments = spark.createDataFrame([(0, date(2020, 1, 1), date(2020, 1, 7)), (1, date(2020, 1, 8), date(2020, 1, 14))],
                                      "seg_idx INT, segment_from DATE, segment_to DATE")
