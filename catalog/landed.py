@@ -200,7 +200,7 @@ def repo_pages(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderkey",
         f"CASE WHEN o_custkey % 97 = 0 THEN '' ELSE {slug('o_custkey')} END AS full_name",
         "CASE WHEN o_orderpriority <> '5-LOW' THEN cast(floor(o_totalprice) AS bigint) END AS stargazers_count",
-        "cast(o_orderdate AS timestamp) AS pushed_at",
+        "timestamp_seconds(unix_date(cast(o_orderdate AS date)) * 86400L) AS pushed_at",
     )
     entry = F.struct(
         "o_orderkey", "full_name", "stargazers_count", "pushed_at",

@@ -275,7 +275,7 @@ def provider_fanout(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- results
-CHECKED_AT = "timestamp'2024-02-01 00:00:00'"
+CHECKED_AT = "timestamp_seconds(1706745600)"
 
 
 @register(
@@ -663,7 +663,9 @@ def scratch(spark: SparkSession) -> str:
 @register(f"SELECT slug, status, builds_found FROM ({duck.github_fold('probes', 'seq', 30, has_kind=False)})")
 def stream_readiness(spark: SparkSession, sf: str) -> DataFrame:
     """Log outcomes streamed through keyed state; the newest status per repository."""
-    spark.conf.set(*live.STATE_STORE)
+    store, provider = live.STATE_STORE
+    before = spark.conf.get(store)
+    spark.conf.set(store, provider)
     work = scratch(spark)
     files = spark.readStream.schema(L.GIVEN["events"]).option("pathGlobFilter", "events.parquet")
     arriving = L.probes_of(files.parquet(sf))
@@ -676,6 +678,7 @@ def stream_readiness(spark: SparkSession, sf: str) -> DataFrame:
         .start()
     )
     query.awaitTermination()
+    spark.conf.set(store, before)
     return live.current_status(spark.read.parquet(f"{work}/out"))
 
 

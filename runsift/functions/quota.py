@@ -25,14 +25,15 @@ def effective_quota(remaining: Column, reset_time: Column, now: Column, stored:
     return F.when(full_again, F.lit(fv.FULL_QUOTA).cast("bigint")).otherwise(left)
 
 
+def utc_text(at: Column) -> Column:
+    """ISO text of a time in UTC, whatever the zone of the session."""
+    return F.date_format(F.to_utc_timestamp(at, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
 def cool_down_label(until: Column, now: Column) -> Column:
     """``Ready`` without a wait, else the end of the wait; both arguments are timestamps."""
-    return F.when(until.isNull() | (until <= now), "Ready").otherwise(
-        F.date_format(until, "yyyy-MM-dd'T'HH:mm:ssXXX")
-    )
+    return F.when(until.isNull() | (until <= now), "Ready").otherwise(utc_text(until))
 
 
 def last_used_label(last_used: Column) -> Column:
-    return F.when(last_used.isNull(), "Never").otherwise(
-        F.date_format(last_used, "yyyy-MM-dd'T'HH:mm:ssXXX")
-    )
+    return F.when(last_used.isNull(), "Never").otherwise(utc_text(last_used))
