@@ -375,7 +375,7 @@ def not_modified(spark: SparkSession, sf: str) -> DataFrame:
       ELSE 'return' END AS disposition, exhausted AS marks_exhausted FROM log_flags"""
 )
 def disposition(spark: SparkSession, sf: str) -> DataFrame:
-    log = request_log.with_retries_used(L.request_log(spark, sf), TWO_RETRIES).withColumn(
+    log = L.request_log(spark, sf).withColumn(
         "cache", F.expr("CASE WHEN log_seq % 4 < 2 THEN 'readable' WHEN log_seq % 4 = 2 THEN 'unreadable' ELSE 'none' END")
     )
     return request_log.with_dispositions(log, TWO_RETRIES).select("log_seq", "disposition", "marks_exhausted")
@@ -389,8 +389,7 @@ def disposition(spark: SparkSession, sf: str) -> DataFrame:
       END AS wait_seconds FROM log_flags"""
 )
 def disposition_travis(spark: SparkSession, sf: str) -> DataFrame:
-    log = request_log.with_retries_used(L.request_log(spark, sf), TWO_RETRIES)
-    return request_log.with_travis_dispositions(log, TWO_RETRIES).select("log_seq", "disposition", "wait_seconds")
+    return request_log.with_travis_dispositions(L.request_log(spark, sf), TWO_RETRIES).select("log_seq", "disposition", "wait_seconds")
 
 
 @register(

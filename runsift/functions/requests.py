@@ -37,7 +37,7 @@ def github_disposition(
     method: Column,
     status: Column,
     remaining: Column,
-    body: Column,
+    spam: Column,
     cache: Column,
     failed: Column,
     retries_used: Column,
@@ -45,8 +45,9 @@ def github_disposition(
 ) -> Column:
     """What the client does next; the first match counts.
 
-    ``cache`` is ``readable``, ``unreadable`` or ``none``. Status 429 marks the
-    quota (:func:`quota_exhausted`) and still goes on to the spam test.
+    ``cache`` is ``readable``, ``unreadable`` or ``none``, ``spam`` the outcome of
+    :func:`is_spam_flag`. Status 429 marks the quota (:func:`quota_exhausted`)
+    and still goes on to the spam test.
     """
     retries_left = retries_used < retry_count
     revalidated = (method == "GET") & (status == 304)
@@ -57,7 +58,7 @@ def github_disposition(
         .when(revalidated & (cache == "unreadable"), "retry_without_etag")
         .when(status == 401, "retry_credential_removed")
         .when((status == 403) & (remaining == "0"), "retry_quota_exhausted")
-        .when(is_spam_flag(status, body), "retry_credential_disabled")
+        .when(spam, "retry_credential_disabled")
         .when((status >= 500) & retries_left, "retry_server_error")
         .otherwise("return")
     )

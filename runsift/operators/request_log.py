@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from runsift.functions.requests import (
     backoff_total,
     github_disposition,
+    is_spam_flag,
     quota_exhausted,
     retry_after_seconds,
     travis_disposition,
@@ -99,15 +100,17 @@ def with_retries_used(log: DataFrame, settings: Settings) -> DataFrame:
 def with_dispositions(log: DataFrame, settings: Settings) -> DataFrame:
     """Adds ``disposition`` and ``marks_exhausted`` to client requests.
 
-    Needs ``cache`` (readable, unreadable, none) and ``retries_used`` (:func:`with_retries_used`).
+    Needs ``cache`` (readable, unreadable, none); counts ``retries_used`` where the log does not tell it.
+    Bodies are looked at before that count, so that they need not follow it through a shuffle.
     """
-    return log.withColumns(
+    flagged = log.withColumn("_spam", is_spam_flag(F.col("status"), F.col("body")))
+    return _counted(flagged, settings).withColumns(
         {
             "disposition": github_disposition(
                 F.col("method"),
                 F.col("status"),
                 F.col("remaining"),
-                F.col("body"),
+                F.col("_spam"),
                 F.col("cache"),
                 F.coalesce(F.col("failed"), F.lit(False)),
                 F.col("retries_used"),
@@ -115,12 +118,16 @@ def with_dispositions(log: DataFrame, settings: Settings) -> DataFrame:
             ),
             "marks_exhausted": quota_exhausted(F.col("status"), F.col("remaining")),
         }
-    )
+    ).drop("_spam")
+
+
+def _counted(log: DataFrame, settings: Settings) -> DataFrame:
+    return log if "retries_used" in log.columns else with_retries_used(log, settings)
 
 
 def with_travis_dispositions(log: DataFrame, settings: Settings) -> DataFrame:
     """Adds ``disposition`` and, where a request waits for its quota, ``wait_seconds``."""
-    return log.withColumns(
+    return _counted(log, settings).withColumns(
         {
             "disposition": travis_disposition(
                 F.col("status"), F.coalesce(F.col("failed"), F.lit(False)), F.col("retries_used"), settings.retry_count

@@ -134,7 +134,8 @@ def test_github_disposition(values):
     ]
     schema = "m STRING, s INT, r STRING, b STRING, c STRING, f BOOLEAN, n INT"
     rows = [t[:7] for t in table]
-    told = requests.github_disposition(C("m"), C("s"), C("r"), C("b"), C("c"), C("f"), C("n"), 3)
+    told = requests.github_disposition(
+        C("m"), C("s"), C("r"), requests.is_spam_flag(C("s"), C("b")), C("c"), C("f"), C("n"), 3)
     assert values(schema, rows, told) == [t[7] for t in table]
     assert values(schema, rows, requests.quota_exhausted(C("s"), C("r"))) == [t[8] for t in table]
 
