@@ -39,16 +39,21 @@ def fill_not_modified(log: DataFrame, slice_seconds: int = 3600) -> DataFrame:
         {"served_status": F.col("status"), "served_body": F.col("body"), "served_from": F.lit("own")}
     )
 
-    marks = log.filter(not_modified | cacheable).withColumn("_slice", F.floor(F.col("ts") / slice_seconds))
+    # A source brings its body only, a request to be filled brings its columns only.
+    marks = log.filter(not_modified | cacheable).select(
+        "request_key",
+        F.floor(F.col("ts") / slice_seconds).alias("_slice"),
+        "log_seq",
+        F.when(cacheable, F.struct("body")).alias("_source"),
+        F.when(not_modified, F.struct(*log.columns)).alias("_open"),
+    )
     in_slice = (
         Window.partitionBy("request_key", "_slice")
         .orderBy("log_seq")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    near = F.last(F.when(cacheable, F.struct("body")), ignorenulls=True).over(in_slice)
-
     slices = marks.groupBy("request_key", "_slice").agg(
-        F.max_by(F.struct("body"), F.when(cacheable, F.col("log_seq"))).alias("_last")
+        F.max_by("_source", F.when(F.col("_source").isNotNull(), F.col("log_seq"))).alias("_last")
     )
     earlier = (
         Window.partitionBy("request_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -58,10 +63,10 @@ def fill_not_modified(log: DataFrame, slice_seconds: int = 3600) -> DataFrame:
     ).filter(F.col("_carried").isNotNull())
 
     filled = (
-        marks.withColumn("_near", near)
-        .filter(not_modified)
+        marks.withColumn("_near", F.last("_source", ignorenulls=True).over(in_slice))
+        .filter(F.col("_open").isNotNull())
         .join(carried, ["request_key", "_slice"], "left")
-        .withColumn("_hit", F.coalesce("_near", "_carried"))
+        .select("_open.*", F.coalesce("_near", "_carried").alias("_hit"))
     )
     hit = F.col("_hit").isNotNull()
     filled = filled.withColumns(
