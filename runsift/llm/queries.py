@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from runsift.llm.decontaminate import contamination_digest
 from runsift.llm.frames import table
+from runsift.llm.near import near_digest
 from runsift.llm.rules import rules_digest
 
 
@@ -13,10 +14,14 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_digest(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_benchmark_decontamination, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op3_benchmark_decontamination, op6_minhash_near_dedup, op10_quality_rules)}
 
 SQL: dict[str, str] = {}
