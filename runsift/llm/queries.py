@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from runsift.llm import pieces
 from runsift.llm.decontaminate import contamination_digest
 from runsift.llm.frames import table
 from runsift.llm.near import near_digest
 from runsift.llm.rules import rules_digest
+from runsift.llm.secrets import secrets_digest
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,10 +25,14 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_digest(table(spark, sf_dir, "documents"))
 
 
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_digest(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_benchmark_decontamination, op6_minhash_near_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op2_sentencepiece, op3_benchmark_decontamination, op6_minhash_near_dedup, op9_secret_scans, op10_quality_rules)}
 
 SQL: dict[str, str] = {}

@@ -27,6 +27,9 @@ from runsift.llm.frames import append_columns, settled, slices
 from runsift.llm.words import NOT_SPACE, U, byte_set, hashes, mix, prefix_sums, row_sums, spans, text_bytes
 
 WINDOW = 8
+PARTS = 64
+#: Squared distance that one in about two thousand rows of a normal distribution exceeds.
+CUTOFF = 26.0
 _SYMBOLS = byte_set(b"#*$%&|<>")
 _MARKS = byte_set(b"!?\"'()[]{}=+/\\@^_~`;:")
 _UPPER = byte_set(range(65, 91))
@@ -192,7 +195,7 @@ def share_spread(share: float, d: int) -> float:
     return float(np.exp(log_density).sum() * (x[1] - x[0]) / 2 / share)
 
 
-def judge(docs: DataFrame, share: float = 0.75, steps: int = 4, cutoff: float = 60.0, least_rows: int = 200, keep: list[str] | None = None) -> DataFrame:
+def judge(docs: DataFrame, share: float = 0.75, steps: int = 4, cutoff: float = CUTOFF, least_rows: int = 200, keep: list[str] | None = None) -> DataFrame:
     """`docs` with its counts, `base_failed`, the Mahalanobis `distance` (squared, null where no estimate applies) and `kept`."""
     names = {c.lower() for c in (docs.columns if keep is None else keep)}
     lang, source = (F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) if c in {x.lower() for x in docs.columns} else F.lit("\u0000") for c in ("lang", "source"))
@@ -214,7 +217,10 @@ def judge(docs: DataFrame, share: float = 0.75, steps: int = 4, cutoff: float =
     params = None
     for _ in range(steps):
         params = settled(_estimates(levels, params, share))
-    scored = rows.join(named, ["__lang", "__source"], "left")
+    # A source may hold a third of all rows: its rows are dealt out over parts, each with its own copy of the group's name.
+    parts = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(PARTS)).cast("int")
+    copies = named.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    scored = rows.withColumn("__part", parts).join(copies, ["__lang", "__source", "__part"], "left").drop("__part")
     joined = scored.join(params, "group", "left")
     d = len(VECTOR)
     gap = [F.col("stats")[i] - F.col("centre")[i] for i in range(d)]
