@@ -9,6 +9,7 @@ from runsift.llm import pieces
 from runsift.llm.decontaminate import contamination_digest
 from runsift.llm.frames import table
 from runsift.llm.near import near_digest
+from runsift.llm.quality import quality_digest
 from runsift.llm.rules import rules_digest
 from runsift.llm.secrets import secrets_digest
 from runsift.llm.toxicity import toxicity_digest
@@ -30,6 +31,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_digest(table(spark, sf_dir, "documents"))
 
@@ -38,6 +43,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_sentencepiece, op3_benchmark_decontamination, op6_minhash_near_dedup, op7_toxicity, op9_secret_scans, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op2_sentencepiece, op3_benchmark_decontamination, op6_minhash_near_dedup, op7_toxicity, op8_quality_classifier, op9_secret_scans, op10_quality_rules)}
 
 SQL: dict[str, str] = {}
