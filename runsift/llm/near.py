@@ -5,7 +5,9 @@ fewer words the whole sequence is its one shingle. Equal sets are one node from
 
 Of each set the minima of `BANDS * ROWS` hash functions are taken. Bands of `ROWS` minima give candidates; of the minima themselves only
 the low `BITS` bits are kept, packed into longs, and the similarity of a pair is estimated from a bit count, corrected for low bits that
-agree by chance. The estimate only drops pairs five standard deviations below the limit; all others are confirmed on full sets.
+agree by chance. The estimate only drops pairs five standard deviations below the limit. Sets that have candidates also get a parity sketch
+of `PARITY` bits: bits in which two sketches differ are never more than the elements in which the sets differ, so that most pairs below the
+limit are dropped for certain. All others are confirmed on full sets.
 
 Every document comes to the component of all its links, without all pairs of a bucket: members are first linked with two hubs
 of their bucket. Then only members that are not in the largest component of their bucket are compared, by signature, with the members of
@@ -28,6 +30,7 @@ from runsift.llm.words import LOWER, NOT_SPACE, U, hashes, mix, prefix_sums, spa
 BANDS, ROWS, BITS = 32, 5, 4
 SLOTS = BANDS * ROWS
 PERCENT = 80
+PARITY = 2048
 #: Standard deviations that an estimate may lie below the limit.
 SLACK = 5
 _random = np.random.RandomState(20_230_517)
@@ -87,6 +90,15 @@ def signatures(shingles: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...
     return ids[0], ids[1], bands.T, packed.T
 
 
+def parities(shingles: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each set and bit, whether an odd number of its elements falls on the bit; packed into longs."""
+    rows = len(first) - 1
+    row = np.repeat(np.arange(rows), np.diff(first))
+    bit = (mix(shingles ^ U(0x2545F4914F6CDD1D)) & U(PARITY - 1)).astype(np.int64)
+    odd = (np.bincount(row * PARITY + bit, minlength=rows * PARITY) & 1).astype(np.uint8).reshape(rows, PARITY)
+    return np.packbits(odd, axis=1).view(U)
+
+
 def _lists(table: np.ndarray) -> pa.Array:
     table = np.ascontiguousarray(table).view(np.int64)
     ends = np.arange(0, table.size + 1, table.shape[1], dtype=np.int32)
@@ -112,15 +124,16 @@ def _signature_columns(size: int):
 def _set_columns(size: int):
     def work(column: pa.Array) -> list:
         data, offsets = text_bytes(column)
-        values, ends, ids = [np.zeros(0, U)], [np.zeros(1, np.int64)], [np.zeros((2, 0), U)]
+        values, ends, ids, odd = [np.zeros(0, U)], [np.zeros(1, np.int64)], [np.zeros((2, 0), U)], [np.zeros((0, PARITY // 64), U)]
         for low, high in slices(offsets):
             shingles, first = shingle_sets(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], size)
             ids.append(identities(shingles, first))
+            odd.append(parities(shingles, first))
             values.append(shingles)
             ends.append(ends[-1][-1] + first[1:])
         both = np.concatenate(ids, axis=1).view(np.int64)
         joined = np.concatenate(values).view(np.int64)
-        return [both[0], both[1], pa.ListArray.from_arrays(pa.array(np.concatenate(ends).astype(np.int32)), pa.array(joined))]
+        return [both[0], both[1], pa.ListArray.from_arrays(pa.array(np.concatenate(ends).astype(np.int32)), pa.array(joined)), _lists(np.concatenate(odd))]
 
     return work
 
@@ -142,10 +155,32 @@ def estimate(a: Column, b: Column) -> Column:
     return (agreeing(a, b) / F.lit(float(SLOTS)) - chance) / (1 - chance)
 
 
+def differing(a: Column, b: Column) -> Column:
+    """Number of bits in which two parity sketches differ: at most the number of elements in which the sets differ."""
+    total = F.bit_count(a[0].bitwiseXOR(b[0]))
+    for k in range(1, PARITY // 64):
+        total = total + F.bit_count(a[k].bitwiseXOR(b[k]))
+    return total
+
+
+def most_differing(elements: Column) -> Column:
+    """How many bits of two sketches may differ when the sets differ in so many elements: all, or the mean and six standard deviations."""
+    m = float(PARITY)
+    two, four = F.pow(F.lit(1 - 2 / m), elements), F.pow(F.lit(1 - 4 / m), elements)
+    variance = m / 4 * (1 - two * two) + m * (m - 1) / 4 * (four - two * two)
+    return F.least(elements.cast("double"), m / 2 * (1 - two) + 6 * F.sqrt(F.greatest(variance, F.lit(0.0))))
+
+
 def _close_enough(percent: int) -> Column:
     limit = percent / 100
     least = limit - SLACK * (limit * (1 - limit) / SLOTS) ** 0.5
-    return (estimate(F.col("sig"), F.col("other_sig")) >= least) & (100 * F.least("n", "other_n") >= percent * F.greatest("n", "other_n"))
+    # 100 * shared >= percent * union, with shared + union = n + other_n and union - shared = elements in which they differ
+    elements = (F.col("n") + F.col("other_n")) * F.lit((100 - percent) / (100 + percent))
+    return (
+        (100 * F.least("n", "other_n") >= percent * F.greatest("n", "other_n"))
+        & (estimate(F.col("sig"), F.col("other_sig")) >= least)
+        & (differing(F.col("odd"), F.col("other_odd")) <= most_differing(elements) + 1e-6)
+    )
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -201,13 +236,14 @@ def near_components(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> D
     buckets = settled(banded.join(shared, "key"))
     wanted = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", F.col("sid_a").alias("want_a"), F.col("sid_b").alias("want_b"))
     texts = docs.join(wanted, docs["doc_id"] == wanted["node"]).select("node", "want_a", "want_b", "text")
-    sets = append_columns(texts, "sid_a bigint, sid_b bigint, shingles array<bigint>", _set_columns(size), keep=["node", "want_a", "want_b"])
-    sets = settled(sets.where("sid_a = want_a and sid_b = want_b").select("node", "shingles").dropDuplicates(["node"]))
-    slim = nodes.select("node", "n", "sig")
+    fields = "sid_a bigint, sid_b bigint, shingles array<bigint>, odd array<bigint>"
+    sets = append_columns(texts, fields, _set_columns(size), keep=["node", "want_a", "want_b"])
+    sets = settled(sets.where("sid_a = want_a and sid_b = want_b").select("node", "shingles", "odd").dropDuplicates(["node"]))
+    slim = settled(nodes.select("node", "n", "sig").join(sets.select("node", "odd"), "node"))
 
     def plausible(pairs: DataFrame) -> DataFrame:
-        a = slim.select(F.col("node").alias("u"), "n", "sig")
-        b = slim.select(F.col("node").alias("v"), F.col("n").alias("other_n"), F.col("sig").alias("other_sig"))
+        a = slim.select(F.col("node").alias("u"), "n", "sig", "odd")
+        b = slim.select(F.col("node").alias("v"), F.col("n").alias("other_n"), F.col("sig").alias("other_sig"), F.col("odd").alias("other_odd"))
         return pairs.join(a, "u").join(b, "v").where(_close_enough(percent)).select("u", "v")
 
     # Hubs: the member that shares most over all its buckets, as what others are copies of does, and one picked by a hash.
@@ -231,7 +267,7 @@ def near_components(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> D
     open_ = settled(placed.join(divided, "key", "left_semi").join(slim, "node"))
     largest = open_.groupBy("key", "component").agg(F.count("*").alias("k")).groupBy("key").agg(F.max_by("component", F.struct("k", "component")).alias("largest"))
     apart = open_.join(largest, "key").where("component != largest").drop("largest")
-    other = open_.join(largest, "key").select("key", F.col("node").alias("other"), F.col("component").alias("other_component"), F.col("n").alias("other_n"), F.col("sig").alias("other_sig"), (F.col("component") != F.col("largest")).alias("both"))
+    other = open_.join(largest, "key").select("key", F.col("node").alias("other"), F.col("component").alias("other_component"), F.col("n").alias("other_n"), F.col("sig").alias("other_sig"), F.col("odd").alias("other_odd"), (F.col("component") != F.col("largest")).alias("both"))
     meet = apart.join(other, "key").where((F.col("component") != F.col("other_component")) & (~F.col("both") | (F.col("node") < F.col("other"))) & _close_enough(percent))
     rest = meet.select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct().join(pairs, ["u", "v"], "left_anti")
     more = _confirmed(settled(rest), sets, percent)

@@ -95,8 +95,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", allowed: Col
     good = (held["label"].to_numpy() > 0).astype(np.float32)
     rarity = (np.log((1 + len(table)) / (1 + (table > 0).sum(axis=0))) + 1).astype(np.float32)
     table = table * rarity
-    _, _, axes = np.linalg.svd(table, full_matrices=False)
-    axes = np.ascontiguousarray(axes[:rank].T)
+    _, axes = np.linalg.eigh(table.T @ table)  # the right singular vectors, the largest last
+    axes = np.ascontiguousarray(axes[:, ::-1][:, :rank])
     return Model(rarity, axes, _unit(table @ axes), good, float(good.mean()), min(neighbours, len(table)))
 
 
