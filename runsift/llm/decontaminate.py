@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runsift.llm.frames import append_columns, slices
+from runsift.llm.frames import append_columns, follow_length, slices
 from runsift.llm.words import LETTER_OR_DIGIT, LOWER, hash_word, hashes, prefix_sums, spans, text_bytes
 
 WINDOW = 10
@@ -233,18 +233,20 @@ def decontaminate(
     most_coverage: float = 0.5,
     most_span: int | None = None,
     block_words: int = BLOCK_WORDS,
+    length: str | None = None,
 ) -> DataFrame:
     """`docs` without the hit spans; documents whose hit words exceed `most_coverage` of all, or `most_span` in one run, go as a whole.
 
-    What lies between the removed spans is kept as it is; documents without a hit are not touched.
+    What lies between the removed spans is kept as it is; documents without a hit are not touched. The column `length`, if named, follows
+    the text where that changes.
     """
     found = find_hits(docs, benchmark, window, block_words)
-    kept = [c for c in docs.columns]
+    kept = docs.columns
 
     def cut(column: pa.Array, hit: pa.Array, n_words: pa.Array) -> list:
         if not pc.any(pc.greater(pc.list_value_length(hit), 0)).as_py():
-            return [column, np.ones(len(column), bool)]
-        texts, stays = [], []
+            return [column, np.ones(len(column), bool), np.zeros(len(column), bool)]
+        texts, stays, changed = [], [], []
         for text, where, n in zip(column.to_pylist(), hit.to_pylist(), n_words.to_pylist(), strict=True):
             runs = [b - a for a, b, _, _ in where]
             stays.append(not runs or (sum(runs) <= most_coverage * n and (most_span is None or max(runs) <= most_span)))
@@ -252,10 +254,11 @@ def decontaminate(
                 raw, edges = text.encode(), [0, *(x for _, _, a, b in where for x in (a, b)), None]
                 text = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)).decode()
             texts.append(text)
-        return [texts, stays]
+            changed.append(bool(runs))
+        return [texts, stays, changed]
 
-    cleaned = append_columns(found, "text string, __stays boolean", cut, ("text", "hit_spans", "n_words"), [c for c in kept if c.lower() != "text"])
-    return cleaned.where("__stays").select(*kept)
+    cleaned = append_columns(found, "text string, __stays boolean, __changed boolean", cut, ("text", "hit_spans", "n_words"), [c for c in kept if c.lower() != "text"])
+    return follow_length(cleaned.where("__stays"), length).select(*kept)
 
 
 def contamination_digest(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -51,6 +51,14 @@ def append_columns(
     return source.mapInArrow(run, schema)
 
 
+def follow_length(frame: DataFrame, length: str | None, text: str = "text") -> DataFrame:
+    """The column `length`, where there is one, counts the text's characters again in rows that are marked `__changed`."""
+    if length is None or length not in frame.columns:
+        return frame
+    kind = frame.schema[length].dataType
+    return frame.withColumn(length, F.when(F.col("__changed"), F.length(text).cast(kind)).otherwise(F.col(length)))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the shared one of the session's settings; below a local one only where none is set, as in tests.
 

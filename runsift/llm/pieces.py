@@ -14,11 +14,13 @@ of valid UTF-8 decode to U+FFFD as the public library does. Result columns repla
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import struct
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -244,8 +246,19 @@ def load(path: str) -> Pieces:
 
 
 def encode_documents(docs: DataFrame, path: str, keep: list[str] | None = None, text: str = "text") -> DataFrame:
-    """`docs` with `token_ids`."""
-    return append_columns(docs, "token_ids array<int>", lambda column: [[load(path).encode(x.as_py()) for x in column]], (text,), keep)
+    """`docs` with `token_ids` and their number, `n_tokens`."""
+
+    def work(column: pa.Array) -> list:
+        pieces = load(path)
+        counts, parts = [0], [np.zeros(0, np.int32)]
+        for text in column:
+            count, ids, _ = pieces.text_digest(text.as_py())
+            counts.append(count)
+            parts.append(np.array(json.loads(f"[{ids}]"), np.int32))
+        ends = np.cumsum(counts).astype(np.int32)
+        return [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts))), np.array(counts[1:], np.int64)]
+
+    return append_columns(docs, "token_ids array<int>, n_tokens bigint", work, (text,), keep)
 
 
 def decode_documents(docs: DataFrame, path: str, keep: list[str] | None = None, ids: str = "token_ids") -> DataFrame:
@@ -267,5 +280,6 @@ def digest(docs: DataFrame, path: str, keep: list[str] | None = None) -> DataFra
 
 
 def with_tokens(docs: DataFrame, path: str) -> DataFrame:
-    """`docs` with their ids, number of ids, and the text that the ids decode to."""
-    return decode_documents(encode_documents(docs, path), path).withColumn("n_tokens", F.size("token_ids").cast("long"))
+    """`docs` with their ids, number of ids, and whether the ids decode to the text."""
+    encoded = decode_documents(encode_documents(docs, path), path)
+    return encoded.withColumn("round_trip", F.coalesce(F.col("text"), F.lit("")) == F.col("decoded")).drop("decoded")

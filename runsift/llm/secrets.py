@@ -19,7 +19,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from runsift.llm.frames import append_columns
+from runsift.llm.frames import append_columns, follow_length
 
 LEAST_BITS = 40.0
 REPLACEMENT = "[secret]"
@@ -159,13 +159,18 @@ def scan_secrets(docs: DataFrame, least_bits: float = LEAST_BITS, keep: list[str
     return append_columns(docs, fields, work, (text,), keep)
 
 
-def redact(docs: DataFrame, least_bits: float = LEAST_BITS) -> DataFrame:
-    """`docs` with each secret replaced by a mark: of an assignment only the value goes. Other text is kept as it is."""
+def redact(docs: DataFrame, least_bits: float = LEAST_BITS, length: str | None = None) -> DataFrame:
+    """`docs` with each secret replaced by a mark: of an assignment only the value goes. Other text is kept as it is.
+
+    The column `length`, if named, follows the text where that changes.
+    """
 
     def work(column: pa.Array) -> list:
-        return [[_redacted(x.as_py(), least_bits) for x in column]]
+        before = column.to_pylist()
+        after = [_redacted(x, least_bits) for x in before]
+        return [after, [a != b for a, b in zip(before, after, strict=True)]]
 
-    return append_columns(docs, "text string", work).select(*docs.columns)
+    return follow_length(append_columns(docs, "text string, __changed boolean", work), length).select(*docs.columns)
 
 
 def _redacted(text: str | None, least_bits: float) -> str | None:
