@@ -10,6 +10,7 @@ from runsift.llm.decontaminate import contamination_digest
 from runsift.llm.frames import table
 from runsift.llm.near import near_digest
 from runsift.llm.quality import quality_digest
+from runsift.llm.repeats import repeats_digest
 from runsift.llm.rules import rules_digest
 from runsift.llm.secrets import secrets_digest
 from runsift.llm.toxicity import toxicity_digest
@@ -23,6 +24,10 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats_digest(table(spark, sf_dir, "documents"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_digest(table(spark, sf_dir, "documents"))
 
@@ -43,6 +48,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_sentencepiece, op3_benchmark_decontamination, op6_minhash_near_dedup, op7_toxicity, op8_quality_classifier, op9_secret_scans, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op2_sentencepiece, op3_benchmark_decontamination, op4_suffix_array_dedup, op6_minhash_near_dedup, op7_toxicity, op8_quality_classifier, op9_secret_scans, op10_quality_rules)}
 
 SQL: dict[str, str] = {}
