@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from runsift.llm import pieces
 from runsift.llm.decontaminate import contamination_digest
 from runsift.llm.frames import table
+from runsift.llm.language import language_digest
 from runsift.llm.near import near_digest
 from runsift.llm.quality import quality_digest
 from runsift.llm.repeats import repeats_digest
@@ -28,6 +29,10 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats_digest(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_digest(table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_sentencepiece, op3_benchmark_decontamination, op4_suffix_array_dedup, op6_minhash_near_dedup, op7_toxicity, op8_quality_classifier, op9_secret_scans, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op2_sentencepiece, op3_benchmark_decontamination, op4_suffix_array_dedup, op5_language_id, op6_minhash_near_dedup, op7_toxicity, op8_quality_classifier, op9_secret_scans, op10_quality_rules)}
 
 SQL: dict[str, str] = {}
