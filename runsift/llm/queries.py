@@ -14,9 +14,14 @@ from runsift.llm.quality import quality_digest
 from runsift.llm.repeats import repeats_digest
 from runsift.llm.rules import rules_digest
 from runsift.llm.secrets import secrets_digest
+from runsift.llm.token_counts import token_digest
 from runsift.llm.toxicity import toxicity_digest
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
 
@@ -53,6 +58,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_sentencepiece, op3_benchmark_decontamination, op4_suffix_array_dedup, op5_language_id, op6_minhash_near_dedup, op7_toxicity, op8_quality_classifier, op9_secret_scans, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_sentencepiece, op3_benchmark_decontamination, op4_suffix_array_dedup, op5_language_id, op6_minhash_near_dedup, op7_toxicity, op8_quality_classifier, op9_secret_scans, op10_quality_rules)}
 
 SQL: dict[str, str] = {}
