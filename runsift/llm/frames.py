@@ -37,14 +37,16 @@ def append_columns(
     new = T.StructType.fromDDL(fields)
     names = {f.name.lower() for f in new}
     kept = [c for c in (frame.columns if keep is None else keep) if c.lower() not in names]
-    source = frame.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"`{c}`").alias(f"__in{i}") for i, c in enumerate(inputs)])
+    extra = [c for c in inputs if c not in kept]  # a text that is kept goes to the workers once
+    source = frame.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"`{c}`").alias(f"__in{i}") for i, c in enumerate(extra)])
+    places = [kept.index(c) if c in kept else len(kept) + extra.index(c) for c in inputs]
     schema = T.StructType([source.schema[c] for c in kept] + list(new))
     kinds = [arrow_type(f.dataType) for f in new]
     columns = [*kept, *[f.name for f in new]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = work(*[batch.column(len(kept) + i) for i in range(len(inputs))])
+            made = work(*[batch.column(i) for i in places])
             arrays = [x if isinstance(x, pa.Array) and x.type == k else pa.array(x, type=k) for x, k in zip(made, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *arrays], names=columns)
 

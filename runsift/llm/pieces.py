@@ -23,15 +23,14 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from runsift.llm.frames import append_columns
 
 SPACE = "▁"
 #: Words of which a worker keeps the encoding, before they become the older half of what it keeps.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 150_000
 #: Pairs of pieces of which a worker keeps whether they fit.
-KEPT_PAIRS = 1_000_000
+KEPT_PAIRS = 400_000
 _BYTES = -1
 
 
@@ -280,6 +279,18 @@ def digest(docs: DataFrame, path: str, keep: list[str] | None = None) -> DataFra
 
 
 def with_tokens(docs: DataFrame, path: str) -> DataFrame:
-    """`docs` with their ids, number of ids, and whether the ids decode to the text."""
-    encoded = decode_documents(encode_documents(docs, path), path)
-    return encoded.withColumn("round_trip", F.coalesce(F.col("text"), F.lit("")) == F.col("decoded")).drop("decoded")
+    """`docs` with their ids, number of ids, and whether the ids decode to the text; both ways in one worker, which keeps one set of words."""
+
+    def work(column: pa.Array) -> list:
+        pieces = load(path)
+        counts, parts, same = [0], [np.zeros(0, np.int32)], []
+        for value in column:
+            text = value.as_py() or ""
+            count, ids, decoded = pieces.text_digest(text)
+            counts.append(count)
+            parts.append(np.array(json.loads(f"[{ids}]"), np.int32))
+            same.append(decoded == text)
+        ends = np.cumsum(counts).astype(np.int32)
+        return [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts))), np.array(counts[1:], np.int64), same]
+
+    return append_columns(docs, "token_ids array<int>, n_tokens bigint, round_trip boolean", work)
