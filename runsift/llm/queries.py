@@ -60,4 +60,48 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_sentencepiece, op3_benchmark_decontamination, op4_suffix_array_dedup, op5_language_id, op6_minhash_near_dedup, op7_toxicity, op8_quality_classifier, op9_secret_scans, op10_quality_rules)}
 
-SQL: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP3 = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+win AS (
+    SELECT DISTINCT item, least(len(w), 10) AS n, unnest([array_to_string(w[k:k + 9], ' ') FOR k IN range(1, greatest(len(w) - 8, 2))]) AS x
+    FROM i WHERE len(w) > 0
+),
+sizes AS (SELECT DISTINCT n FROM win),
+cut AS (
+    SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS k, unnest([array_to_string(w[j:j + n - 1], ' ') FOR j IN range(1, len(w) - n + 2)]) AS x
+    FROM d, sizes WHERE len(w) >= n
+),
+found AS (SELECT doc_id, k, cut.n, item FROM cut JOIN win ON cut.x = win.x AND cut.n = win.n),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM found) GROUP BY doc_id),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS named
+    FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(named, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+_OP6 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 1 THEN w ELSE list_distinct([w[k] || ' ' || w[k + 1] FOR k IN range(1, len(w))]) END) AS x
+    FROM d WHERE len(w) > 0
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY u, v),
+link AS (
+    SELECT u, v FROM pairs JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * k >= 80 * (a.n + b.n - k)
+),
+sym AS (SELECT u, v FROM link UNION ALL SELECT v, u FROM link),
+reach(doc_id, other) AS (SELECT u, v FROM sym UNION SELECT reach.doc_id, sym.v FROM reach JOIN sym ON reach.other = sym.u),
+least_ AS (SELECT doc_id, min(other) AS m FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id, d.doc_id <= coalesce(m, d.doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least_ USING (doc_id)
+"""
+
+#: The others need encoders, learned models, byte arithmetic over all positions, or several statements.
+SQL: dict[str, str] = {"op3_benchmark_decontamination": _OP3, "op6_minhash_near_dedup": _OP6}

@@ -8,7 +8,7 @@ before the anchor, read backwards; where intervals join, suffixes that become ne
 to the left too. So every repeat is extended to both sides as far as it goes, and is told for all its occurrences, not just for
 neighbours in the array. Contexts reach `LENGTH` bytes to each side of an anchor, longer repeats come as overlapping pieces.
 
-A part with more than `most_suffixes` suffixes is not gathered. Its strings of `LENGTH` bytes are counted by hash instead: first blocks of
+Suffixes with equal contexts are one suffix with a count: if it is over one, the whole context is repeated. A part with more than `most_suffixes` suffixes is still not gathered. Its strings of `LENGTH` bytes are counted by hash instead: first blocks of
 neighbouring strings by what these have in common, then single strings where a block is neither unlike nor alike as a whole. Both are
 sums by key, partly made before the shuffle, and give the same bytes.
 
@@ -18,19 +18,20 @@ texts, and texts of fewer bytes, hold no repeats. Repeated rows are copies like
 
 from __future__ import annotations
 
+import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runsift.llm.frames import append_columns, slices
-from runsift.llm.words import U, hashes, prefix_sums
+from runsift.llm.frames import append_columns, settled, slices
+from runsift.llm.words import U, hashes, mix, prefix_sums
 
-LENGTH, GRAM = 400, 64
-MOST_SUFFIXES = 4096
+LENGTH, GRAM = 400, 128
+MOST_SUFFIXES = 16_384
 _REACH = LENGTH - GRAM  # how far a string that holds an anchor may begin before it, or end after its gram
 _BLOCK = 18  # strings whose common part stands for all of them, in parts that are not gathered
 _PLACE = U((1 << 24) - 1)
@@ -167,87 +168,108 @@ def repeats(lefts: list[bytes], rights: list[bytes], length: int = LENGTH, group
     return found
 
 
-# Tables: texts (tid, text, copies), places (tid, at, gram, suffixes) of anchors whose gram occurs twice or more, spans (tid, start, stop).
+# Tables: texts (ta, tb, text, copies), named by two halves of a hash; places (ta, tb, at, gram, context) of anchors whose gram occurs
+# twice or more, context being a hash of it; spans (ta, tb, start, stop).
+_NAME = ["ta", "tb"]
 
 
-def distinct_texts(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
-    long_enough = docs.where(F.octet_length(text) >= length).select(F.unhex(F.md5(F.col(text).cast("binary"))).alias("tid"), F.col(text).cast("binary").alias("text"))
-    return long_enough.groupBy("tid").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+def _named(text: Column) -> list[Column]:
+    hashed = F.md5(text)
+    return [F.conv(F.substring(hashed, k, 15), 16, 10).cast("long").alias(name) for k, name in ((1, "ta"), (17, "tb"))]
+
+
+def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
+    raw = F.col(text).cast("binary")
+    return docs.where(F.octet_length(text) >= LENGTH).select(*_named(raw), raw.alias("text")).groupBy(*_NAME).agg(F.first("text").alias("text"), F.count("*").alias("copies"))
 
 
 def anchor_places(texts: DataFrame) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = binary_bytes(batch.column("text"))
-            row, at, gram = text_anchors(data, offsets)
-            yield pa.RecordBatch.from_arrays([batch.column("tid").take(pa.array(row)), pa.array(at.astype(np.int32)), pa.array(gram.view(np.int64))], names=["tid", "at", "gram"])
-
-    found = texts.select("tid", "text").mapInArrow(find, "tid binary, at int, gram bigint")
-    shared = found.groupBy("gram").agg(F.count("*").alias("suffixes")).where("suffixes > 1")
-    return found.join(shared, "gram")
+            rows, places, grams, contexts = [], [], [], []
+            for low, high in slices(offsets):
+                part, own = data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
+                row, at, gram = text_anchors(part, own)
+                begin, end = np.maximum(at - _REACH, 0), np.minimum(at + LENGTH, np.diff(own)[row])
+                context = hashes(prefix_sums(part), own[row] + begin, own[row] + end) ^ mix((at - begin).astype(U))
+                for held, more in ((rows, row + low), (places, at), (grams, gram), (contexts, context)):
+                    held.append(more)
+            if rows:
+                row, at, gram, context = (np.concatenate(x) for x in (rows, places, grams, contexts))
+                named = [batch.column(c).take(pa.array(row)) for c in _NAME]
+                yield pa.RecordBatch.from_arrays([*named, pa.array(at.astype(np.int32)), pa.array(gram.view(np.int64)), pa.array(context.view(np.int64))], names=[*_NAME, "at", "gram", "context"])
+
+    found = texts.select(*_NAME, "text").mapInArrow(find, "ta bigint, tb bigint, at int, gram bigint, context bigint")
+    shared = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    return found.join(shared, "gram", "left_semi")
 
 
 def _with_texts(texts: DataFrame, places: DataFrame, columns: list[str]) -> DataFrame:
     """Each text with its own places as one array."""
-    listed = places.groupBy("tid").agg(F.collect_list(F.struct(*columns)).alias("places"))
-    return texts.select("tid", "text").join(listed, "tid")
+    listed = places.groupBy(*_NAME).agg(F.collect_list(F.struct(*columns)).alias("places"))
+    return texts.select(*_NAME, "text").join(listed, _NAME)
 
 
-def _gathered(texts: DataFrame, places: DataFrame, length: int) -> DataFrame:
-    """Spans from parts that meet in one task each."""
+def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        held = batch.column("places")
+        row = np.repeat(np.arange(len(held)), np.diff(held.offsets.to_numpy()))
+        at, gram = (held.values.field(k) for k in ("at", "gram"))
+        texts = [x.as_py() for x in batch.column("text")]
+        near = [texts[r][max(0, p - _REACH) : p + LENGTH] for r, p in zip(row.tolist(), at.to_pylist(), strict=True)]
+        named = [batch.column(c).take(pa.array(row)) for c in _NAME]
+        yield pa.RecordBatch.from_arrays([*named, at, gram, pa.array(near, pa.binary())], names=[*_NAME, "at", "gram", "near"])
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held = batch.column("places")
-            row = np.repeat(np.arange(len(held)), np.diff(held.offsets.to_numpy()))
-            at, gram = (held.values.field(k) for k in ("at", "gram"))
-            texts = [x.as_py() for x in batch.column("text")]
-            near = [texts[r][max(0, p - _REACH) : p + LENGTH] for r, p in zip(row.tolist(), at.to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("tid").take(pa.array(row)), at, gram, pa.array(near, pa.binary())], names=["tid", "at", "gram", "near"])
+
+def _gathered(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """Spans from parts that meet in one task each."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part: list[tuple] = []
+        part: list[list] = []
         out: list[tuple] = []
 
         def close() -> None:
             if len(part) > 1:
-                before = [min(_REACH, at) for _, at, _ in part]
-                lefts = [near[:b][::-1] for (_, _, near), b in zip(part, before, strict=True)]
-                rights = [near[b:] for (_, _, near), b in zip(part, before, strict=True)]
-                for (tid, at, _), held in zip(part, repeats(lefts, rights, length), strict=True):
+                before = [min(_REACH, at) for _, _, at, _ in part]
+                lefts = [near[:b][::-1] for (*_, near), b in zip(part, before, strict=True)]
+                rights = [near[b:] for (*_, near), b in zip(part, before, strict=True)]
+                for (ta, tb, at, _), held in zip(part, repeats(lefts, rights), strict=True):
                     reach: list[list[int]] = []
                     for left, right in sorted(set(held), key=lambda x: -x[0]):
                         if reach and -left <= reach[-1][1]:  # all hold the anchor, so all overlap
                             reach[-1][1] = max(reach[-1][1], right)
                         else:
                             reach.append([-left, right])
-                    out.extend((tid, at + a, at + b) for a, b in reach)
+                    out.extend((ta, tb, at + a, at + b) for a, b in reach)
             part.clear()
 
         gram = None
         for batch in batches:
-            for g, tid, at, near in zip(*(batch.column(c).to_pylist() for c in ("gram", "tid", "at", "near")), strict=True):
+            for g, *suffix in zip(*(batch.column(c).to_pylist() for c in ("gram", *_NAME, "at", "near")), strict=True):
                 if g != gram:
                     close()
                     gram = g
-                part.append((tid, at, near))
+                part.append(suffix)
             if len(out) > 10_000:
                 yield _span_batch(out)
                 out = []
         close()
         yield _span_batch(out)
 
-    contexts = _with_texts(texts, places, ["at", "gram"]).mapInArrow(cut, "tid binary, at int, gram bigint, near binary")
-    return contexts.repartition("gram").sortWithinPartitions("gram").mapInArrow(scan, "tid binary, start int, stop int")
+    contexts = _with_texts(texts, places, ["at", "gram"]).mapInArrow(_cut_contexts, "ta bigint, tb bigint, at int, gram bigint, near binary")
+    return contexts.repartition("gram").sortWithinPartitions("gram").mapInArrow(scan, "ta bigint, tb bigint, start int, stop int")
 
 
 def _span_batch(out: list[tuple]) -> pa.RecordBatch:
-    tid, start, stop = zip(*out, strict=True) if out else ((), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(tid, pa.binary()), pa.array(start, pa.int32()), pa.array(stop, pa.int32())], names=["tid", "start", "stop"])
+    columns = zip(*out, strict=True) if out else ((), (), (), ())
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=[*_NAME, "start", "stop"])
 
 
-def _counted(texts: DataFrame, places: DataFrame, length: int) -> DataFrame:
+def _counted(texts: DataFrame, places: DataFrame) -> DataFrame:
     """Spans from parts of any size, by counting strings of `length` bytes by hash, first in blocks."""
+    length = LENGTH
     count = length - GRAM + 1  # strings that hold an anchor: number s begins s bytes after the first
     key = ["gram", "s", "hash"]
 
@@ -268,7 +290,7 @@ def _counted(texts: DataFrame, places: DataFrame, length: int) -> DataFrame:
                 base = offsets[row][which]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("tid").take(pa.array(row[which])),
+                        *[batch.column(c).take(pa.array(row[which])) for c in _NAME],
                         pa.array(given[0][which].astype(np.int32)),
                         pa.array(given[1][which]),
                         pa.array(s.astype(np.int32)),
@@ -276,12 +298,12 @@ def _counted(texts: DataFrame, places: DataFrame, length: int) -> DataFrame:
                         pa.array((low - base).astype(np.int32)),
                         pa.array((high - base).astype(np.int32)),
                     ],
-                    names=["tid", "at", "gram", "s", "hash", "start", "stop"],
+                    names=[*_NAME, "at", "gram", "s", "hash", "start", "stop"],
                 )
 
         return work
 
-    schema = "tid binary, at int, gram bigint, s int, hash bigint, start int, stop int"
+    schema = "ta bigint, tb bigint, at int, gram bigint, s int, hash bigint, start int, stop int"
 
     def blocks(given, origin, begin, end):
         """Of each place and block of strings the bytes that all have in common (even numbers), and those of all together (odd ones)."""
@@ -308,54 +330,107 @@ def _counted(texts: DataFrame, places: DataFrame, length: int) -> DataFrame:
 
     tried = _with_texts(texts, places, ["at", "gram"]).mapInArrow(runs(["at", "gram"], blocks), schema)
     twice = tried.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key)
-    found = tried.join(twice, key, "left_semi")
+    found = settled(tried.join(twice, key, "left_semi"))
     whole = found.where("s % 2 = 1")
-    open_ = found.where("s % 2 = 0").join(whole.select("tid", "at", (F.col("s") - 1).alias("s")), ["tid", "at", "s"], "left_anti")
+    open_ = found.where("s % 2 = 0").join(whole.select(*_NAME, "at", "gram", (F.col("s") - 1).alias("s")), [*_NAME, "at", "gram", "s"], "left_anti")
     # Of blocks that are alike as a whole one stands for all, as its strings may be what an open block repeats.
-    one = whole.groupBy(*key).agg(F.min(F.struct("tid", "at")).alias("one")).select("one.tid", "one.at", "gram", (F.col("s") - 1).alias("s"))
-    wanted = open_.select("tid", "at", "gram", "s").union(one)
+    one = whole.groupBy(*key).agg(F.min(F.struct(*_NAME, "at")).alias("one")).select("one.ta", "one.tb", "one.at", "gram", (F.col("s") - 1).alias("s"))
+    wanted = open_.select(*_NAME, "at", "gram", "s").union(one)
     single = _with_texts(texts, wanted, ["at", "gram", "s"]).mapInArrow(runs(["at", "gram", "s"], strings), schema)
     again = single.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key)
-    return whole.union(single.join(again, key, "left_semi")).select("tid", "start", "stop")
+    return whole.union(single.join(again, key, "left_semi")).select(*_NAME, "start", "stop", F.concat_ws(":", *key).alias("group"))
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH, most_suffixes: int = MOST_SUFFIXES) -> DataFrame:
-    """(tid, start, stop) in bytes; the union of a text's spans is what a string that starts anywhere else covers."""
-    places = anchor_places(texts)
-    few, many = places.where(F.col("suffixes") <= most_suffixes), places.where(F.col("suffixes") > most_suffixes)
-    return _gathered(texts, few, length).union(_counted(texts, many, length))
+def repeated_spans(texts: DataFrame, most_suffixes: int = MOST_SUFFIXES) -> DataFrame:
+    """(ta, tb, start, stop) in bytes; the union of a text's spans is what a string that starts anywhere else covers.
 
-
-def remove_repeats(texts: DataFrame, length: int = LENGTH, most_suffixes: int = MOST_SUFFIXES) -> DataFrame:
-    """(tid, n_removed, removed, kept): of each distinct text the maximal runs that are repeated, and the bytes that are left."""
-    listed = repeated_spans(texts, length, most_suffixes).groupBy("tid").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    joined = texts.join(listed, "tid", "left")
+    A span may go beyond the end of its text.
+    """
+    places = settled(anchor_places(texts))
+    kinds = places.groupBy("gram", "context").agg(F.count("*").alias("n"), *[F.min_by(c, F.struct(*_NAME, "at")).alias(c) for c in (*_NAME, "at")])
+    sizes = kinds.groupBy("gram").agg(F.count("*").alias("suffixes"))
+    kinds = settled(kinds.join(sizes, "gram"))
+    alike = places.join(kinds.where("n > 1").select("gram", "context"), ["gram", "context"], "left_semi")
+    found = alike.select(*_NAME, F.greatest(F.col("at") - _REACH, F.lit(0)).alias("start"), (F.col("at") + LENGTH).alias("stop"))
+    few, many = kinds.where(f"suffixes between 2 and {most_suffixes}"), kinds.where(f"suffixes > {max(1, most_suffixes)}")
+    found = found.union(_gathered(texts, few))
+    return found if many.isEmpty() else found.union(_counted(texts, many).drop("group"))
+
+
+def remove_repeats(texts: DataFrame, most_suffixes: int = MOST_SUFFIXES) -> DataFrame:
+    """(ta, tb, n_removed, removed, kept): of each distinct text the maximal runs that are repeated, and the bytes that are left."""
+    listed = repeated_spans(texts, most_suffixes).groupBy(*_NAME).agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    joined = texts.join(listed, _NAME, "left")
 
     def cut(text: pa.Array, spans: pa.Array, copies: pa.Array) -> list:
         removed, runs, kept = [], [], []
         for raw, held, n in zip(text.to_pylist(), spans.to_pylist(), copies.to_pylist(), strict=True):
             merged: list[list[int]] = [[0, len(raw)]] if n > 1 else []
             if n == 1:
-                for s in sorted((x["start"], x["stop"]) for x in held or ()):
-                    if merged and s[0] <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], s[1])
+                for a, b in sorted((x["start"], min(x["stop"], len(raw))) for x in held or ()):
+                    if merged and a <= merged[-1][1]:
+                        merged[-1][1] = max(merged[-1][1], b)
                     else:
-                        merged.append(list(s))
+                        merged.append([a, b])
             edges = [0, *(x for m in merged for x in m), len(raw)]
             kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
             removed.append(sum(b - a for a, b in merged))
             runs.append(merged)
         return [removed, runs, kept]
 
-    return append_columns(joined, "n_removed bigint, removed array<array<bigint>>, kept binary", cut, ("text", "spans", "copies"), ["tid"])
+    return append_columns(joined, "n_removed bigint, removed array<array<bigint>>, kept binary", cut, ("text", "spans", "copies"), _NAME)
+
+
+def maximal_repeats(docs: DataFrame, most_suffixes: int = MOST_SUFFIXES) -> DataFrame:
+    """(group, ta, tb, start, stop): every maximal repeat within reach of an anchor, one row for each of its occurrences.
+
+    Of parts that are not gathered each repeated string, or block of strings, is a group.
+    """
+    texts = distinct_texts(docs)
+    places = settled(anchor_places(texts))
+    sizes = places.groupBy("gram").agg(F.count("*").alias("suffixes"))
+    places = settled(places.join(sizes, "gram"))
+    few, many = places.where(F.col("suffixes") <= most_suffixes), places.where(F.col("suffixes") > most_suffixes)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part: list[list] = []
+        out: list[tuple] = []
+
+        def close() -> None:
+            if len(part) > 1:
+                before = [min(_REACH, at) for _, _, at, _ in part]
+                groups: list = []
+                repeats([near[:b][::-1] for (*_, near), b in zip(part, before, strict=True)], [near[b:] for (*_, near), b in zip(part, before, strict=True)], LENGTH, groups)
+                for left, right, members in groups:
+                    near, b = part[members[0]][3], before[members[0]]
+                    name = hashlib.md5(near[b - left : b + right]).hexdigest()
+                    out.extend((name, *part[i][:2], part[i][2] - left, part[i][2] + right) for i in members)
+            part.clear()
+
+        gram = None
+        for batch in batches:
+            for g, *suffix in zip(*(batch.column(c).to_pylist() for c in ("gram", *_NAME, "at", "near")), strict=True):
+                if g != gram:
+                    close()
+                    gram = g
+                part.append(suffix)
+        close()
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        columns = zip(*out, strict=True) if out else ((),) * 5
+        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=["group", *_NAME, "start", "stop"])
+
+    contexts = _with_texts(texts, few, ["at", "gram"]).mapInArrow(_cut_contexts, "ta bigint, tb bigint, at int, gram bigint, near binary")
+    found = contexts.repartition("gram").sortWithinPartitions("gram").mapInArrow(scan, "group string, ta bigint, tb bigint, start int, stop int")
+    return found.union(_counted(texts, many).select("group", *_NAME, "start", "stop")).distinct()
 
 
-def repeats_digest(docs: DataFrame, length: int = LENGTH, most_suffixes: int = MOST_SUFFIXES) -> DataFrame:
-    cleaned = remove_repeats(distinct_texts(docs, length), length, most_suffixes)
-    slim = cleaned.select("tid", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+def repeats_digest(docs: DataFrame, most_suffixes: int = MOST_SUFFIXES) -> DataFrame:
+    cleaned = remove_repeats(distinct_texts(docs), most_suffixes)
+    slim = cleaned.select(*_NAME, "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rows = docs.select("doc_id", F.unhex(F.md5(raw)).alias("tid"), F.octet_length(raw).cast("long").alias("n_bytes"), F.when(F.octet_length(raw) < length, F.sha2(raw, 256)).alias("own"))
-    return rows.join(slim, "tid", "left").select(
+    size = F.octet_length(raw)
+    rows = docs.select("doc_id", *_named(raw), size.cast("long").alias("n_bytes"), F.when(size < LENGTH, F.sha2(raw, 256)).alias("own"))
+    return rows.join(slim, _NAME, "left").select(
         "doc_id",
         "n_bytes",
         F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
