@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runsift.llm.frames import append_columns, settled, slices
+from runsift.llm.frames import append_columns, chunked, settled, slices
 from runsift.llm.words import U, hashes, mix, prefix_sums
 
 LENGTH, GRAM = 400, 128
@@ -222,51 +222,50 @@ def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([*named, at, gram, pa.array(near, pa.binary())], names=[*_NAME, "at", "gram", "near"])
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list]]:
+    """Suffixes (ta, tb, at, near) with equal grams, of rows sorted by gram; single ones are left out."""
+    part: list[list] = []
+    gram = None
+    for batch in batches:
+        for g, *suffix in zip(*(batch.column(c).to_pylist() for c in ("gram", *_NAME, "at", "near")), strict=True):
+            if g != gram:
+                if len(part) > 1:
+                    yield part
+                part, gram = [], g
+            part.append(suffix)
+    if len(part) > 1:
+        yield part
+
+
+def _sides(part: list[list]) -> tuple[list[bytes], list[bytes]]:
+    """What comes before each anchor, backwards, and what comes from it on."""
+    before = [min(_REACH, at) for _, _, at, _ in part]
+    return [s[3][:b][::-1] for s, b in zip(part, before, strict=True)], [s[3][b:] for s, b in zip(part, before, strict=True)]
+
+
 def _gathered(texts: DataFrame, places: DataFrame) -> DataFrame:
     """Spans from parts that meet in one task each."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part: list[list] = []
-        out: list[tuple] = []
-
-        def close() -> None:
-            if len(part) > 1:
-                before = [min(_REACH, at) for _, _, at, _ in part]
-                lefts = [near[:b][::-1] for (*_, near), b in zip(part, before, strict=True)]
-                rights = [near[b:] for (*_, near), b in zip(part, before, strict=True)]
-                for (ta, tb, at, _), held in zip(part, repeats(lefts, rights), strict=True):
-                    reach: list[list[int]] = []
-                    for left, right in sorted(set(held), key=lambda x: -x[0]):
-                        if reach and -left <= reach[-1][1]:  # all hold the anchor, so all overlap
-                            reach[-1][1] = max(reach[-1][1], right)
-                        else:
-                            reach.append([-left, right])
-                    out.extend((ta, tb, at + a, at + b) for a, b in reach)
-            part.clear()
-
-        gram = None
-        for batch in batches:
-            for g, *suffix in zip(*(batch.column(c).to_pylist() for c in ("gram", *_NAME, "at", "near")), strict=True):
-                if g != gram:
-                    close()
-                    gram = g
-                part.append(suffix)
-            if len(out) > 10_000:
-                yield _span_batch(out)
-                out = []
-        close()
-        yield _span_batch(out)
+        for rows in chunked(spans_of_parts(batches), 10_000):
+            columns, kinds = zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=[*_NAME, "start", "stop"])
+
+    def spans_of_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int, int]]:
+        for part in _parts(batches):
+            for (ta, tb, at, _), held in zip(part, repeats(*_sides(part)), strict=True):
+                reach: list[list[int]] = []
+                for left, right in sorted(set(held), key=lambda x: -x[0]):
+                    if reach and -left <= reach[-1][1]:  # all hold the anchor, so all overlap
+                        reach[-1][1] = max(reach[-1][1], right)
+                    else:
+                        reach.append([-left, right])
+                yield from ((ta, tb, at + a, at + b) for a, b in reach)
 
     contexts = _with_texts(texts, places, ["at", "gram"]).mapInArrow(_cut_contexts, "ta bigint, tb bigint, at int, gram bigint, near binary")
     return contexts.repartition("gram").sortWithinPartitions("gram").mapInArrow(scan, "ta bigint, tb bigint, start int, stop int")
 
 
-def _span_batch(out: list[tuple]) -> pa.RecordBatch:
-    columns = zip(*out, strict=True) if out else ((), (), (), ())
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
-    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=[*_NAME, "start", "stop"])
-
-
 def _counted(texts: DataFrame, places: DataFrame) -> DataFrame:
     """Spans from parts of any size, by counting strings of `length` bytes by hash, first in blocks."""
     length = LENGTH
@@ -341,15 +340,20 @@ def _counted(texts: DataFrame, places: DataFrame) -> DataFrame:
     return whole.union(single.join(again, key, "left_semi")).select(*_NAME, "start", "stop", F.concat_ws(":", *key).alias("group"))
 
 
+def _kinds(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All places, and one for each gram and context, with their number and how many contexts the gram has."""
+    places = settled(anchor_places(texts))
+    kinds = places.groupBy("gram", "context").agg(F.count("*").alias("n"), *[F.min_by(c, F.struct(*_NAME, "at")).alias(c) for c in (*_NAME, "at")])
+    sizes = kinds.groupBy("gram").agg(F.count("*").alias("suffixes"))
+    return places, settled(kinds.join(sizes, "gram"))
+
+
 def repeated_spans(texts: DataFrame, most_suffixes: int = MOST_SUFFIXES) -> DataFrame:
     """(ta, tb, start, stop) in bytes; the union of a text's spans is what a string that starts anywhere else covers.
 
     A span may go beyond the end of its text.
     """
-    places = settled(anchor_places(texts))
-    kinds = places.groupBy("gram", "context").agg(F.count("*").alias("n"), *[F.min_by(c, F.struct(*_NAME, "at")).alias(c) for c in (*_NAME, "at")])
-    sizes = kinds.groupBy("gram").agg(F.count("*").alias("suffixes"))
-    kinds = settled(kinds.join(sizes, "gram"))
+    places, kinds = _kinds(texts)
     alike = places.join(kinds.where("n > 1").select("gram", "context"), ["gram", "context"], "left_semi")
     found = alike.select(*_NAME, F.greatest(F.col("at") - _REACH, F.lit(0)).alias("start"), (F.col("at") + LENGTH).alias("stop"))
     few, many = kinds.where(f"suffixes between 2 and {most_suffixes}"), kinds.where(f"suffixes > {max(1, most_suffixes)}")
@@ -382,46 +386,31 @@ def remove_repeats(texts: DataFrame, most_suffixes: int = MOST_SUFFIXES) -> Data
 
 
 def maximal_repeats(docs: DataFrame, most_suffixes: int = MOST_SUFFIXES) -> DataFrame:
-    """(group, ta, tb, start, stop): every maximal repeat within reach of an anchor, one row for each of its occurrences.
+    """(group, ta, tb, start, stop): maximal repeats within reach of an anchor, one row for each occurrence; a text's copies are one text.
 
-    Of parts that are not gathered each repeated string, or block of strings, is a group.
+    Groups are found among distinct contexts and then told for all places that have these. Of parts that are not gathered each repeated
+    string, or block of strings, is a group. A span may go beyond the end of its text.
     """
     texts = distinct_texts(docs)
-    places = settled(anchor_places(texts))
-    sizes = places.groupBy("gram").agg(F.count("*").alias("suffixes"))
-    places = settled(places.join(sizes, "gram"))
-    few, many = places.where(F.col("suffixes") <= most_suffixes), places.where(F.col("suffixes") > most_suffixes)
+    places, kinds = _kinds(texts)
+    few, many = kinds.where(f"suffixes between 2 and {most_suffixes}"), kinds.where(f"suffixes > {max(1, most_suffixes)}")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part: list[list] = []
-        out: list[tuple] = []
-
-        def close() -> None:
-            if len(part) > 1:
-                before = [min(_REACH, at) for _, _, at, _ in part]
-                groups: list = []
-                repeats([near[:b][::-1] for (*_, near), b in zip(part, before, strict=True)], [near[b:] for (*_, near), b in zip(part, before, strict=True)], LENGTH, groups)
-                for left, right, members in groups:
-                    near, b = part[members[0]][3], before[members[0]]
-                    name = hashlib.md5(near[b - left : b + right]).hexdigest()
-                    out.extend((name, *part[i][:2], part[i][2] - left, part[i][2] + right) for i in members)
-            part.clear()
-
-        gram = None
-        for batch in batches:
-            for g, *suffix in zip(*(batch.column(c).to_pylist() for c in ("gram", *_NAME, "at", "near")), strict=True):
-                if g != gram:
-                    close()
-                    gram = g
-                part.append(suffix)
-        close()
-        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
-        columns = zip(*out, strict=True) if out else ((),) * 5
-        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=["group", *_NAME, "start", "stop"])
+        for part in _parts(batches):
+            groups: list = []
+            lefts, rights = _sides(part)
+            repeats(lefts, rights, LENGTH, groups)
+            named = ((hashlib.md5(lefts[m[0]][:left][::-1] + rights[m[0]][:right]).hexdigest(), *part[i][:3], left, right) for left, right, m in groups for i in m)
+            for rows in chunked(named, 10_000):
+                kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["group", *_NAME, "at", "left", "right"])
 
     contexts = _with_texts(texts, few, ["at", "gram"]).mapInArrow(_cut_contexts, "ta bigint, tb bigint, at int, gram bigint, near binary")
-    found = contexts.repartition("gram").sortWithinPartitions("gram").mapInArrow(scan, "group string, ta bigint, tb bigint, start int, stop int")
-    return found.union(_counted(texts, many).select("group", *_NAME, "start", "stop")).distinct()
+    found = contexts.repartition("gram").sortWithinPartitions("gram").mapInArrow(scan, "group string, ta bigint, tb bigint, at int, left int, right int")
+    named = found.join(kinds.select(*_NAME, "at", "gram", "context"), [*_NAME, "at"]).select("group", "gram", "context", "left", "right")
+    whole = kinds.where("n > 1").select(F.concat_ws(":", "gram", "context").alias("group"), "gram", "context", F.lit(_REACH).alias("left"), F.lit(LENGTH).alias("right"))
+    told = named.union(whole).join(places, ["gram", "context"]).select("group", *_NAME, F.greatest(F.col("at") - F.col("left"), F.lit(0)).alias("start"), (F.col("at") + F.col("right")).alias("stop"))
+    return told.union(_counted(texts, many).select("group", *_NAME, "start", "stop")).distinct()
 
 
 def repeats_digest(docs: DataFrame, most_suffixes: int = MOST_SUFFIXES) -> DataFrame:
