@@ -29,10 +29,12 @@ def append_columns(
     work: Callable[..., list],
     inputs: list[str] | tuple[str, ...] = ("text",),
     keep: list[str] | None = None,
+    done: Callable[[], None] | None = None,
 ) -> DataFrame:
     """`frame` with the columns `fields` (DDL), which `work` makes from the Arrow arrays of `inputs`, batch by batch.
 
     A column of `frame` whose name equals a new one, in any case, is replaced. `keep` names the columns to keep, all by default.
+    Workers serve many tasks; `done` is called at the end of each, to give back what `work` has kept in memory.
     """
     new = T.StructType.fromDDL(fields)
     names = {f.name.lower() for f in new}
@@ -49,6 +51,9 @@ def append_columns(
             made = work(*[batch.column(i) for i in places])
             arrays = [x if isinstance(x, pa.Array) and x.type == k else pa.array(x, type=k) for x, k in zip(made, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *arrays], names=columns)
+        if done is not None:
+            done()
+        pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(run, schema)
 

@@ -17,6 +17,7 @@ import hashlib
 import json
 import re
 import struct
+from collections.abc import Callable
 from functools import lru_cache
 
 import ahocorasick
@@ -28,7 +29,7 @@ from runsift.llm.frames import append_columns
 
 SPACE = "▁"
 #: Words of which a worker keeps the encoding, before they become the older half of what it keeps.
-KEPT_WORDS = 150_000
+KEPT_WORDS = 120_000
 #: Pairs of pieces of which a worker keeps whether they fit.
 KEPT_PAIRS = 400_000
 _BYTES = -1
@@ -244,6 +245,14 @@ def load(path: str) -> Pieces:
     return Pieces(path)
 
 
+def _forget(path: str) -> Callable[[], None]:
+    def done() -> None:
+        pieces = load(path)
+        pieces.kept, pieces.older, pieces.fits = {}, {}, {}
+
+    return done
+
+
 def encode_documents(docs: DataFrame, path: str, keep: list[str] | None = None, text: str = "text") -> DataFrame:
     """`docs` with `token_ids` and their number, `n_tokens`."""
 
@@ -257,7 +266,7 @@ def encode_documents(docs: DataFrame, path: str, keep: list[str] | None = None,
         ends = np.cumsum(counts).astype(np.int32)
         return [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts))), np.array(counts[1:], np.int64)]
 
-    return append_columns(docs, "token_ids array<int>, n_tokens bigint", work, (text,), keep)
+    return append_columns(docs, "token_ids array<int>, n_tokens bigint", work, (text,), keep, _forget(path))
 
 
 def decode_documents(docs: DataFrame, path: str, keep: list[str] | None = None, ids: str = "token_ids") -> DataFrame:
@@ -275,7 +284,7 @@ def digest(docs: DataFrame, path: str, keep: list[str] | None = None) -> DataFra
             rows.append((count, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
         return [list(x) for x in zip(*rows, strict=True)] if rows else [[], [], []]
 
-    return append_columns(docs, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", work, keep=keep)
+    return append_columns(docs, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", work, keep=keep, done=_forget(path))
 
 
 def with_tokens(docs: DataFrame, path: str) -> DataFrame:
@@ -293,4 +302,4 @@ def with_tokens(docs: DataFrame, path: str) -> DataFrame:
         ends = np.cumsum(counts).astype(np.int32)
         return [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts))), np.array(counts[1:], np.int64), same]
 
-    return append_columns(docs, "token_ids array<int>, n_tokens bigint, round_trip boolean", work)
+    return append_columns(docs, "token_ids array<int>, n_tokens bigint, round_trip boolean", work, done=_forget(path))

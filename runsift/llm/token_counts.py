@@ -232,7 +232,7 @@ def edited_counts(docs: DataFrame, path: str, edits_of: Callable[[str], Iterable
         found = list(rows(column))
         return [list(x) for x in zip(*found, strict=True)] if found else [[] for _ in range(5)]
 
-    return append_columns(docs, fields, work, keep=keep)
+    return append_columns(docs, fields, work, keep=keep, done=lambda: counter(path).kept.clear())
 
 
 def token_digest(docs: DataFrame, path: str) -> DataFrame:
