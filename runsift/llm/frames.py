@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import itertools
 import tempfile
 import uuid
@@ -23,6 +24,18 @@ def arrow_type(kind: T.DataType) -> pa.DataType:
     return to_arrow_type(kind)
 
 
+#: Rows that are worked on at once, of the batches that Spark hands over.
+_ROWS = 1024
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on beside the next task's JVM memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def append_columns(
     frame: DataFrame,
     fields: str,
@@ -47,13 +60,15 @@ def append_columns(
     columns = [*kept, *[f.name for f in new]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = work(*[batch.column(i) for i in places])
-            arrays = [x if isinstance(x, pa.Array) and x.type == k else pa.array(x, type=k) for x, k in zip(made, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *arrays], names=columns)
+        for whole in batches:
+            for low in range(0, len(whole), _ROWS):
+                batch = whole.slice(low, _ROWS)
+                made = work(*[batch.column(i) for i in places])
+                arrays = [x if isinstance(x, pa.Array) and x.type == k else pa.array(x, type=k) for x, k in zip(made, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *arrays], names=columns)
         if done is not None:
             done()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return source.mapInArrow(run, schema)
 

@@ -31,6 +31,7 @@ BANDS, ROWS, BITS = 32, 5, 4
 SLOTS = BANDS * ROWS
 PERCENT = 80
 PARITY = 2048
+_TEXTS = 1024  # texts that are worked on at once
 #: Standard deviations that an estimate may lie below the limit.
 SLACK = 5
 _random = np.random.RandomState(20_230_517)
@@ -109,7 +110,7 @@ def _signature_columns(size: int):
     def work(column: pa.Array) -> list:
         data, offsets = text_bytes(column)
         n, parts = [np.zeros(0, np.int64)], []
-        for low, high in slices(offsets):
+        for low, high in slices(offsets, most_rows=_TEXTS):
             shingles, first = shingle_sets(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], size)
             n.append(np.diff(first))
             parts.append(signatures(shingles, first))
@@ -125,7 +126,7 @@ def _set_columns(size: int):
     def work(column: pa.Array) -> list:
         data, offsets = text_bytes(column)
         values, ends, ids, odd = [np.zeros(0, U)], [np.zeros(1, np.int64)], [np.zeros((2, 0), U)], [np.zeros((0, PARITY // 64), U)]
-        for low, high in slices(offsets):
+        for low, high in slices(offsets, most_rows=_TEXTS):
             shingles, first = shingle_sets(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], size)
             ids.append(identities(shingles, first))
             odd.append(parities(shingles, first))
@@ -293,7 +294,7 @@ def _ids_only(size: int):
     def work(column: pa.Array) -> list:
         data, offsets = text_bytes(column)
         ids, n = [np.zeros((2, 0), U)], [np.zeros(0, np.int64)]
-        for low, high in slices(offsets):
+        for low, high in slices(offsets, most_rows=_TEXTS):
             shingles, first = shingle_sets(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], size)
             ids.append(identities(shingles, first))
             n.append(np.diff(first))

@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame
 from runsift.llm.frames import append_columns
 
 SPACE = "▁"
-#: Words of which a worker keeps the encoding, before they become the older half of what it keeps.
-KEPT_WORDS = 120_000
+#: Words of which a worker keeps the encoding, before they become the older half of what it keeps; fewer beside other stages.
+KEPT_WORDS, KEPT_WORDS_BESIDE = 250_000, 80_000
 #: Pairs of pieces of which a worker keeps whether they fit.
-KEPT_PAIRS = 400_000
+KEPT_PAIRS = 300_000
 _BYTES = -1
 
 
@@ -70,7 +70,8 @@ _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 class Pieces:
     """A vocabulary file of merge type with byte fallback and without normalisation rules."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, kept_words: int = KEPT_WORDS) -> None:
+        self.kept_words = kept_words
         self.names: list[str] = []
         self.kinds: list[int] = []
         scores: list[float] = []
@@ -234,20 +235,20 @@ class Pieces:
         for word in set(words).difference(kept):
             kept[word] = older.get(word) or self._word_digest(word)
         counts, ids, shown = zip(*map(kept.__getitem__, words), strict=True)
-        if len(kept) >= KEPT_WORDS:
+        if len(kept) >= self.kept_words:
             self.kept, self.older = {}, {w: x for w, x in kept.items() if len(w) <= 64}
         decoded = "".join(shown)
         return sum(counts), ",".join(ids), decoded.removeprefix(" ") if self.dummy_prefix else decoded
 
 
 @lru_cache(maxsize=2)
-def load(path: str) -> Pieces:
-    return Pieces(path)
+def load(path: str, kept_words: int = KEPT_WORDS) -> Pieces:
+    return Pieces(path, kept_words)
 
 
 def _forget(path: str) -> Callable[[], None]:
     def done() -> None:
-        pieces = load(path)
+        pieces = load(path, KEPT_WORDS_BESIDE)
         pieces.kept, pieces.older, pieces.fits = {}, {}, {}
 
     return done
@@ -266,7 +267,7 @@ def encode_documents(docs: DataFrame, path: str, keep: list[str] | None = None,
         ends = np.cumsum(counts).astype(np.int32)
         return [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts))), np.array(counts[1:], np.int64)]
 
-    return append_columns(docs, "token_ids array<int>, n_tokens bigint", work, (text,), keep, _forget(path))
+    return append_columns(docs, "token_ids array<int>, n_tokens bigint", work, (text,), keep)
 
 
 def decode_documents(docs: DataFrame, path: str, keep: list[str] | None = None, ids: str = "token_ids") -> DataFrame:
@@ -284,14 +285,14 @@ def digest(docs: DataFrame, path: str, keep: list[str] | None = None) -> DataFra
             rows.append((count, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
         return [list(x) for x in zip(*rows, strict=True)] if rows else [[], [], []]
 
-    return append_columns(docs, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", work, keep=keep, done=_forget(path))
+    return append_columns(docs, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", work, keep=keep)
 
 
 def with_tokens(docs: DataFrame, path: str) -> DataFrame:
     """`docs` with their ids, number of ids, and whether the ids decode to the text; both ways in one worker, which keeps one set of words."""
 
     def work(column: pa.Array) -> list:
-        pieces = load(path)
+        pieces = load(path, KEPT_WORDS_BESIDE)
         counts, parts, same = [0], [np.zeros(0, np.int32)], []
         for value in column:
             text = value.as_py() or ""
