@@ -15,6 +15,12 @@ from runsift.settings import Settings
 from runsift.sources.results import read_results, write_results
 
 
+def batch_writer(batch: DataFrame, batch_id: int) -> str:
+    """Names a micro-batch: the stream, as its checkpoint knows it, and the batch number. A new checkpoint is a new stream."""
+    stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{stream}-{batch_id}"
+
+
 def run_passes(
     repo_pages: DataFrame,
     landed: Callable[[], Landed],
@@ -29,16 +35,18 @@ def run_passes(
 
     ``landed`` reads the other landed tables; it is called in every pass, so that
     a pass sees what has landed since the one before.
-    A pass reads the version before its own batch number, so a batch that is run
-    again after a failure gives the same version again. Repositories processed in
-    an earlier pass are left out through the result table; duplicates within a
-    pass are dropped afresh, and ``limit`` counts per pass.
+    A pass reads the newest version and writes the next one, whoever wrote what is
+    stored; a batch that is run again after a failure reads what it read before
+    and replaces its own version. Repositories processed in an earlier pass are
+    left out through the result table; duplicates within a pass are dropped
+    afresh, and ``limit`` counts per pass.
     """
 
     def one_pass(batch: DataFrame, batch_id: int) -> None:
-        results = read_results(batch.sparkSession, results_base, RESULTS, before=batch_id)
+        writer = batch_writer(batch, batch_id)
+        results = read_results(batch.sparkSession, results_base, RESULTS, not_by=writer)
         tables = replace(landed(), repo_pages=batch)
-        write_results(scan(tables, results, settings, checked_at, limit), results_base, batch_id)
+        write_results(scan(tables, results, settings, checked_at, limit), results_base, by=writer)
 
     return _start(repo_pages, one_pass, checkpoint, settings, once)
 
@@ -50,8 +58,9 @@ def run_quota_passes(
 
     def one_pass(batch: DataFrame, batch_id: int) -> None:
         schema = LANDED["quota_state"]
-        stored = read_results(batch.sparkSession, state_base, schema, before=batch_id)
-        write_results(merge_quota(stored, quota_state(batch)), state_base, batch_id)
+        writer = batch_writer(batch, batch_id)
+        stored = read_results(batch.sparkSession, state_base, schema, not_by=writer)
+        write_results(merge_quota(stored, quota_state(batch)), state_base, by=writer)
 
     return _start(request_log, one_pass, checkpoint, settings, once)
 
