@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runsift import fixed_values as fv
@@ -64,13 +64,26 @@ def run_steps(pages: DataFrame) -> DataFrame:
     )
 
 
+def can_decide(steps: DataFrame) -> Column:
+    """Steps that take part in a decision: outcomes and list events, or probes whose outcome is still to come."""
+    event = F.col("kind").isin(*LIST_EVENTS) if "kind" in steps.columns else F.lit(False)
+    if "outcome" in steps.columns:
+        known = F.col("outcome").isin(fv.LOG_OK, fv.LOG_GONE, fv.LOG_AUTH, fv.LOG_ERROR) | event
+    else:
+        known = (F.col("kind") == "probe") | event
+    return F.coalesce(known, F.lit(False))
+
+
 def bound_steps(steps: DataFrame, settings: Settings, order: Sequence[str] = RUN_ORDER) -> DataFrame:
     """Steps that can still decide: stands before the join to responses.
 
-    Leaves at most ``step_bound * hot_key_splits`` steps per repository; the
-    exact cut is made by :func:`fold_runs`.
+    Leaves at most ``(step_bound + 1) * hot_key_splits`` steps per repository; the
+    exact cut is made by :func:`fold_runs`. Steps that decide nothing come after
+    all others, so they take no place from these, and keep a repository that has
+    no others.
     """
-    return thin_hot_keys(steps, ["slug"], list(order), settings.step_bound, settings.hot_key_splits, list(order))
+    last = (~can_decide(steps)).cast("int")
+    return thin_hot_keys(steps, ["slug"], [last, *order], settings.step_bound + 1, settings.hot_key_splits, list(order))
 
 
 def fold_runs(
@@ -97,7 +110,7 @@ def fold_runs(
     is_bad = F.coalesce(outcome.isin(fv.LOG_GONE, fv.LOG_ERROR), F.lit(False))
     running = steps.select(
         "*",
-        F.row_number().over(so_far).alias("_rank"),
+        F.sum(can_decide(steps).cast("int")).over(so_far).alias("_rank"),
         F.sum(is_ok.cast("int")).over(so_far).alias("ok_cum"),
         F.sum(is_bad.cast("int")).over(so_far).alias("bad_cum"),
     ).filter(F.col("_rank") <= settings.step_bound)

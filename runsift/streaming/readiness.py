@@ -20,6 +20,7 @@ from runsift.operators.readiness import LIST_EVENTS
 from runsift.settings import Settings
 
 STATE = "ok LONG, bad LONG, seq LONG, status STRING"
+OUTCOMES = (fv.LOG_OK, fv.LOG_GONE, fv.LOG_AUTH, fv.LOG_ERROR)
 OUTPUT = "slug STRING, kind STRING, seq LONG, outcome STRING, status STRING, builds_found LONG"
 
 
@@ -44,7 +45,9 @@ class ReadinessProcessor(StatefulProcessor):
             fresh = chunk.loc[chunk["seq"] > last, ["seq", "outcome", "kind"]]
             if len(fresh):
                 newest = max(newest, int(fresh["seq"].max()))
-                if status is None:
+                # Steps without a known outcome decide nothing and take no place.
+                fresh = fresh[fresh["outcome"].isin(OUTCOMES) | fresh["kind"].isin(LIST_EVENTS)]
+                if status is None and len(fresh):
                     so_far = fresh if first is None else pd.concat([first, fresh])
                     first = so_far.nsmallest(self.step_bound, "seq")
         if newest == last:
