@@ -10,6 +10,13 @@ from runsift.functions.text import is_slug
 from runsift.operators.first_rows import first_rows, thin_hot_keys
 from runsift.settings import Settings
 
+#: Fields that a search order may go by, the first that the rows have.
+SORT_FIELDS = {
+    "stars": ("stargazers_count",),
+    "updated": ("updated_at", "pushed_at"),
+    "forks": ("forks_count",),
+    "help-wanted-issues": ("open_issues_count",),
+}
 TRAVERSAL = ["seg_idx", "lang_idx", "page", "pos"]
 
 
@@ -69,13 +76,14 @@ def first_seen(hits: DataFrame) -> DataFrame:
 def search_pages(repos: DataFrame, settings: Settings) -> DataFrame:
     """Ranked pages of a search: at most ``per_page * pages`` repositories per (segment, language).
 
-    There are few (segment, language) groups and each may be huge, so hot ones
+    An order whose field the rows lack, such as best match, is the search
+    engine's own: then the slug alone decides. There are few (segment, language) groups and each may be huge, so hot ones
     are thinned in parts first.
     """
     cap = settings.search_per_page * settings.search_pages
-    field = {"stars": "stargazers_count", "updated": "pushed_at"}[settings.search_sort]
-    by = F.col(field).asc_nulls_first() if settings.search_order == "asc" else F.col(field).desc_nulls_last()
-    keys, order = ["seg_idx", "lang_idx"], [by, F.col("slug")]
+    field = next((c for c in SORT_FIELDS.get(settings.search_sort, (settings.search_sort,)) if c in repos.columns), None)
+    by = [] if field is None else [F.col(field).asc_nulls_first() if settings.search_order == "asc" else F.col(field).desc_nulls_last()]
+    keys, order = ["seg_idx", "lang_idx"], [*by, F.col("slug")]
     thin = thin_hot_keys(repos, keys, order, cap, settings.hot_key_splits, ["slug"])
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return (

@@ -57,7 +57,11 @@ def normalise_segments(raw: DataFrame) -> DataFrame:
 
 
 def settings_segments(spark: SparkSession, settings: Settings) -> DataFrame | None:
-    """Segments the settings ask for: the written ones, else weekly ones over the range, else none at all."""
+    """Segments the settings ask for: the written ones, else weekly ones over the range, else none at all.
+
+    Written ends stay as text beside their dates: a search takes them as they are,
+    whole dates or not.
+    """
     written = [
         (i, {str(k): str(v) for k, v in s.items() if v} if isinstance(s, Mapping) else None,
          None if isinstance(s, Mapping) else [str(end) for end in s])
@@ -69,6 +73,8 @@ def settings_segments(spark: SparkSession, settings: Settings) -> DataFrame | No
         F.col("ordinal").alias("seg_idx"),
         iso_date(F.col("segment_from")).alias("segment_from"),
         iso_date(F.col("segment_to")).alias("segment_to"),
+        F.col("segment_from").alias("from_text"),
+        F.col("segment_to").alias("to_text"),
     )
     ends = [(settings.segment_start, settings.segment_end)]
     weekly = weekly_segments(spark.createDataFrame(ends, "range_start STRING, range_end STRING")).select(
@@ -95,20 +101,28 @@ def work_list(
     if segments is None:
         null_date = F.lit(None).cast("date")
         segments = base.select(F.lit(0).alias("seg_idx"), null_date.alias("segment_from"), null_date.alias("segment_to"))
+    ends = [
+        F.coalesce(F.col(text), F.col(day).cast("string")) if text in segments.columns else F.col(day).cast("string")
+        for text, day in (("from_text", "segment_from"), ("to_text", "segment_to"))
+    ]
     pages = F.array(*[F.lit(page) for page in range(1, settings.search_pages + 1)]).cast("array<int>")
     return (
-        segments.select("seg_idx", "segment_from", "segment_to", F.posexplode(languages).alias("lang_idx", "lang"))
+        segments.select(
+            "seg_idx", "segment_from", "segment_to", ends[0].alias("_from"), ends[1].alias("_to"),
+            F.posexplode(languages).alias("lang_idx", "lang"),
+        )
         .select("*", F.explode(pages).alias("page"))
         .withColumn(
             "search",
             search_string(
                 F.col("lang"),
-                F.col("segment_from"),
-                F.col("segment_to"),
+                F.col("_from"),
+                F.col("_to"),
                 F.lit(settings.updated_since),
                 F.lit(settings.min_stars),
             ),
         )
+        .drop("_from", "_to")
     )
 
 
@@ -117,8 +131,10 @@ def match_segments(repos: DataFrame, segments: DataFrame, created: str = "create
 
     Segments are unfolded into days, which turns the range condition into an
     equality, so Spark can hash-join at any size; it broadcasts the day table
-    only if its measured size allows.
+    only if its measured size allows. A segment that ends before it begins, or
+    lacks a whole date, holds no day.
     """
+    segments = segments.filter(F.coalesce(F.col("segment_from") <= F.col("segment_to"), F.lit(False)))
     days = segments.withColumn("_day", F.explode(F.sequence("segment_from", "segment_to", F.expr("INTERVAL 1 DAY"))))
     return (
         repos.withColumn("_day", F.to_date(created))
