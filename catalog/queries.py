@@ -337,10 +337,13 @@ def pass_counts(spark: SparkSession, sf: str) -> DataFrame:
 @register(
     """SELECT slug, page, runs, CAST(coalesce(sum(good) OVER (PARTITION BY slug ORDER BY page
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS ok_before
-    FROM (SELECT w.slug, w.page, CASE WHEN page_rule = 31 THEN 0 ELSE count(*) END AS runs,
+    FROM (SELECT *, min(page) FILTER (page_rule IN (5, 17, 23, 31)) OVER (PARTITION BY slug) AS ends
+    FROM (SELECT w.slug, w.page, page_rule, CASE WHEN page_rule = 31 THEN 0 ELSE count(*) END AS runs,
         count(*) FILTER (worthy AND outcome = 'ok' AND page_rule NOT IN (5, 17, 23, 31)) AS good
       FROM worthy_runs w LEFT JOIN run_outcomes o ON w.id = o.id GROUP BY w.slug, w.page, page_rule
-      UNION ALL SELECT 'org' || (c_custkey % 15) || '/repo' || c_custkey, 1, 0, 0 FROM idle_customers)"""
+      UNION ALL SELECT 'org' || (c_custkey % 15) || '/repo' || c_custkey, 1, 31, 0, 0 FROM idle_customers
+        WHERE c_custkey % 3 = 1))
+    WHERE ends IS NULL OR page < ends OR (page = ends AND page_rule = 31)"""
 )
 def page_progress(spark: SparkSession, sf: str) -> DataFrame:
     pages = L.run_pages(spark, sf)
@@ -668,16 +671,18 @@ def stream_readiness(spark: SparkSession, sf: str) -> DataFrame:
     work = scratch(spark)
     files = spark.readStream.schema(L.GIVEN["events"]).option("pathGlobFilter", "events.parquet")
     arriving = L.probes_of(files.parquet(sf))
-    query = (
-        live.readiness_stream(arriving, Settings())
-        .writeStream.foreachBatch(lambda rows, n: rows.write.mode("overwrite").parquet(f"{work}/out/batch={n}"))
-        .option("checkpointLocation", f"{work}/checkpoint")
-        .outputMode("update")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    spark.conf.set(store, before)
+    try:
+        query = (
+            live.readiness_stream(arriving, Settings())
+            .writeStream.foreachBatch(lambda rows, n: rows.write.mode("overwrite").parquet(f"{work}/out/batch={n}"))
+            .option("checkpointLocation", f"{work}/checkpoint")
+            .outputMode("update")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    finally:
+        spark.conf.set(store, before)
     return live.current_status(spark.read.parquet(f"{work}/out"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runsift import fixed_values as fv
+from runsift.operators.discover import bad_page
 
 
 def repo_details(repos: DataFrame, checked_at: Column, *kept: str) -> DataFrame:
@@ -45,8 +46,11 @@ def upsert(
 
     ``given`` lists the fields an update sets: those overwrite, null included,
     and all others stay. Several updates of one key apply in ``order``, field by
-    field. An update of an unknown key inserts it.
+    field. An update of an unknown key inserts it. Fields that ``current`` lacks
+    are added to it.
     """
+    new = [c for c in updates.columns if c not in (*current.columns, *keys, order, given)]
+    current = current.withColumns({c: F.lit(None).cast(updates.schema[c].dataType) for c in new}) if new else current
     fields = [c for c in current.columns if c not in keys]
     carried = [c for c in fields if c in updates.columns]
     # The newest given value per field; null where no update gives the field.
@@ -86,7 +90,9 @@ def processed_per_pass(processed: DataFrame, pass_id: str = "pass_id") -> DataFr
 def page_progress(steps: DataFrame, pages: DataFrame, slice_pages: int = 1000) -> DataFrame:
     """Runs per listed page and the good logs before it.
 
-    ``steps`` are probed runs with their outcome, ``pages`` the listed pages.
+    A list ends before its first page that failed, was refused or is missing, and
+    with its first empty one; pages beyond were never asked for. Pages without a
+    status are taken as listed. ``steps`` are probed runs with their outcome, ``pages`` the listed pages.
     The running sum is taken within slices of pages, so that a repository with
     very many pages is spread over tasks; into each slice comes the sum of the
     slices before it, of which there is one row per repository and slice.
@@ -94,8 +100,15 @@ def page_progress(steps: DataFrame, pages: DataFrame, slice_pages: int = 1000) -
     good = steps.groupBy("slug", "page").agg(
         F.count_if(F.coalesce(F.col("outcome") == fv.LOG_OK, F.lit(False))).alias("_ok")
     )
+    runs = F.coalesce(F.size("runs"), F.lit(0))
+    told = {"status", "request_failed"} <= set(pages.columns)
+    bad = bad_page(F.col("status"), F.col("request_failed")) if told else F.lit(False)
+    slim = pages.select("slug", "page", runs.alias("runs"), bad.alias("_bad"))
+    ends = slim.filter(F.col("_bad") | (F.col("runs") <= 0)).groupBy("slug").agg(F.min("page").alias("_end"))
     listed = (
-        pages.select("slug", "page", F.coalesce(F.size("runs"), F.lit(0)).alias("runs"))
+        slim.join(ends, "slug", "left")
+        .filter(F.col("_end").isNull() | (F.col("page") < F.col("_end")) | ((F.col("page") == F.col("_end")) & ~F.col("_bad")))
+        .select("slug", "page", F.greatest("runs", F.lit(0)).alias("runs"))
         .join(good, ["slug", "page"], "left")
         .withColumns({"_ok": F.coalesce("_ok", F.lit(0)), "_slice": F.floor(F.col("page") / slice_pages)})
     )

@@ -63,6 +63,11 @@ def found_repositories(repo_pages: DataFrame) -> DataFrame:
     return first_seen(hits)
 
 
+def rejected_hits(repo_pages: DataFrame) -> DataFrame:
+    """Hits of the landed search pages that no scan can take up, for lack of a usable slug; to be written or counted."""
+    return split_rejects(search_hits(cut_page_chains(repo_pages)))[1]
+
+
 def open_pairs(
     landed: Landed, results: DataFrame, limit: int | None = None, per_provider: bool = False
 ) -> DataFrame:

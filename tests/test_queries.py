@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from catalog.queries import QUERIES, SQL
 from compare import connect, differences
 
 SF = "/root/testdata/sf0.001"
@@ -25,7 +26,7 @@ def check_plan(name, told):
             assert "Aggregate" in below or "Limit" in below, below
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     frame = contract.queries()[name](spark, SF)
     check_plan(name, frame._jdf.queryExecution().executedPlan().toString())
@@ -38,4 +39,4 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(SQL) <= set(contract.oracle_sql())
