@@ -691,7 +691,7 @@ def stream_results(spark: SparkSession, sf: str) -> DataFrame:
     """Search pages land as files; a pass over them writes the first version of the result table."""
     work = scratch(spark)
     L.repo_pages(spark, sf).write.parquet(f"{work}/landing")
-    pages = read_landed_stream(spark, "repo_pages", f"{work}/landing")
+    pages = read_landed_stream(spark, "repo_pages", f"{work}/landing", stamped=True)
     query = passes.run_passes(
         pages, lambda: landed_tables(spark, sf, FEW_BUILDS), f"{work}/results", f"{work}/checkpoint", FEW_BUILDS,
         F.expr(CHECKED_AT), once=True,

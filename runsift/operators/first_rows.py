@@ -19,6 +19,16 @@ def first_rows(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str
     return ranked.filter(F.col("_rank") <= n).drop("_rank")
 
 
+def newest_landings(rows: DataFrame, *keys: str, landed: str = "ts") -> DataFrame:
+    """The newest landing per key, by the column ``landed``; rows of a table without it have landed once.
+
+    An answer that landed later takes the place of an older one, whatever either says.
+    """
+    if landed not in rows.columns:
+        return rows
+    return first_rows(rows, list(keys), [F.col(landed).desc_nulls_last()], 1)
+
+
 def thin_hot_keys(
     df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int, splits: int, spread: Sequence[str]
 ) -> DataFrame:

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from runsift import fixed_values as fv
 from runsift.functions.outcomes import content_exists, has_runs
+from runsift.operators.first_rows import newest_landings
 
 
 def detect_providers(probes: DataFrame) -> DataFrame:
-    """Ordered provider list per slug from the landed probe responses; summed up before the shuffle."""
+    """Ordered provider list per slug from the newest answer to each probe; summed up before the shuffle."""
+    probes = newest_landings(probes, "slug", "probe")
     github = (F.col("probe") == "runs") & has_runs(F.col("status"), F.col("total_count"))
     travis = (F.col("probe") == "travis_yml") & content_exists(F.col("status"))
     found = probes.groupBy("slug").agg(F.bool_or(github).alias("_github"), F.bool_or(travis).alias("_travis"))

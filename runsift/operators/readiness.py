@@ -19,7 +19,7 @@ from runsift import fixed_values as fv
 from runsift.functions.actors import run_actor, worth_a_request
 from runsift.functions.messages import message_for, status_for
 from runsift.functions.text import travis_log_address
-from runsift.operators.first_rows import thin_hot_keys
+from runsift.operators.first_rows import first_rows, newest_landings, thin_hot_keys
 from runsift.settings import Settings
 
 # Kinds of steps that end a list of runs, whatever comes after.
@@ -36,6 +36,7 @@ def run_steps(pages: DataFrame) -> DataFrame:
     a request gives a probe; other runs give none, but the first run of the
     first page stays as an idle step so that no repository is lost.
     """
+    pages = newest_landings(pages, "slug", "page")
     status, page, pos = F.col("status"), F.col("page"), F.col("pos")
     failed = F.coalesce(F.col("request_failed"), F.lit(False))
     listed = ~failed & F.coalesce(status == 200, F.lit(False))
@@ -77,13 +78,13 @@ def can_decide(steps: DataFrame) -> Column:
 def bound_steps(steps: DataFrame, settings: Settings, order: Sequence[str] = RUN_ORDER) -> DataFrame:
     """Steps that can still decide: stands before the join to responses.
 
-    Leaves at most ``(step_bound + 1) * hot_key_splits`` steps per repository; the
+    Leaves at most ``step_bound * hot_key_splits`` steps per repository; the
     exact cut is made by :func:`fold_runs`. Steps that decide nothing come after
     all others, so they take no place from these, and keep a repository that has
     no others.
     """
     last = (~can_decide(steps)).cast("int")
-    return thin_hot_keys(steps, ["slug"], [last, *order], settings.step_bound + 1, settings.hot_key_splits, list(order))
+    return thin_hot_keys(steps, ["slug"], [last, *order], settings.step_bound, settings.hot_key_splits, list(order))
 
 
 def fold_runs(
@@ -104,16 +105,17 @@ def fold_runs(
     if not bounded:
         steps = bound_steps(steps, settings, order)
 
+    # The exact cut, again with steps that decide nothing after all others.
+    steps = first_rows(steps, ["slug"], [(~can_decide(steps)).cast("int"), *order], settings.step_bound)
     so_far = Window.partitionBy("slug").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     outcome = F.col("outcome")
     is_ok = F.coalesce(outcome == fv.LOG_OK, F.lit(False))
     is_bad = F.coalesce(outcome.isin(fv.LOG_GONE, fv.LOG_ERROR), F.lit(False))
     running = steps.select(
         "*",
-        F.sum(can_decide(steps).cast("int")).over(so_far).alias("_rank"),
         F.sum(is_ok.cast("int")).over(so_far).alias("ok_cum"),
         F.sum(is_bad.cast("int")).over(so_far).alias("bad_cum"),
-    ).filter(F.col("_rank") <= settings.step_bound)
+    )
 
     bad_at_last_ok = F.max(F.when(is_ok, F.col("bad_cum"))).over(so_far)
     counted = running.withColumn("bad_run", F.col("bad_cum") - F.coalesce(bad_at_last_ok, F.lit(0)))

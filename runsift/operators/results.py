@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from runsift import fixed_values as fv
 from runsift.operators.discover import bad_page
+from runsift.operators.first_rows import newest_landings
 
 
 def repo_details(repos: DataFrame, checked_at: Column, *kept: str) -> DataFrame:
@@ -101,6 +102,7 @@ def page_progress(steps: DataFrame, pages: DataFrame, slice_pages: int = 1000) -
         F.count_if(F.coalesce(F.col("outcome") == fv.LOG_OK, F.lit(False))).alias("_ok")
     )
     runs = F.coalesce(F.size("runs"), F.lit(0))
+    pages = newest_landings(pages, "slug", "page")
     told = {"status", "request_failed"} <= set(pages.columns)
     bad = bad_page(F.col("status"), F.col("request_failed")) if told else F.lit(False)
     slim = pages.select("slug", "page", runs.alias("runs"), bad.alias("_bad"))

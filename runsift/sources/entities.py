@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runsift.functions.entities import graphql_body, graphql_has_errors, object_or_null
+from runsift.operators.first_rows import newest_landings
 
 OBJECT_ENTITIES = ("commit", "repository", "pull_request", "user")
 PAGED_ENTITIES = ("commit_comments", "pull_commits", "pull_comments", "issue_comments", "pull_reviews")
@@ -24,7 +25,7 @@ def entity_objects(
 ) -> DataFrame:
     """One row per landed object: entity, parent, ``body`` and, with a schema, ``data``; null where it is no object."""
     _check(entities, OBJECT_ENTITIES)
-    rows = pages.filter(F.col("entity").isin(*entities)).select(
+    rows = newest_landings(pages.filter(F.col("entity").isin(*entities)), "entity", "parent").select(
         "entity", "parent", object_or_null(F.col("status"), F.col("body"), raw).alias("body")
     )
     return rows if schema is None else rows.withColumn("data", F.from_json("body", schema))
@@ -41,6 +42,7 @@ def entity_items(
     _check(entities, PAGED_ENTITIES + SINGLE_PAGE_ENTITIES)
     paged = F.col("entity").isin(*PAGED_ENTITIES)
     kept = pages.filter(F.col("entity").isin(*entities) & (paged | (F.col("page") == 1)))
+    kept = newest_landings(kept, "entity", "parent", "page")
     if not raw:
         kept = kept.filter(F.col("status") == 200)
     rows = kept.select(

@@ -78,7 +78,7 @@ def test_stored_results_outlive_checkpoints_and_mixing(spark, tmp_path):
     before = {tuple(r) for r in read_results(spark, f"{work}/results", RESULTS).collect()}
 
     def one_run(checkpoint):
-        stream = read_landed_stream(spark, "repo_pages", f"{work}/landing")
+        stream = read_landed_stream(spark, "repo_pages", f"{work}/landing", stamped=True)
         later = F.lit("2025-01-01").cast("timestamp")
         passes.run_passes(stream, lambda: tables, f"{work}/results", f"{work}/{checkpoint}", FEW_BUILDS, later, once=True).awaitTermination()
         return {tuple(r) for r in read_results(spark, f"{work}/results", RESULTS).collect()}
@@ -103,3 +103,23 @@ def test_a_repeated_batch_replaces_its_own_version(spark, tmp_path):
         write_results(rows("a", str(n)), base, by=f"s-{n + 1}", keep=4)
     assert [n for n, _, _ in _versions(spark, base)] == [16, 17, 18, 19]
     assert LANDED and {r.slug for r in read_results(spark, base, schema).collect()} == {"a", "14"}
+
+
+def test_the_newest_landing_counts_once(spark):
+    run = lambda i: (i, f"u{i}", '{"login": "a", "type": "User"}', None)
+    fields = "slug STRING, page INT, status INT, request_failed BOOLEAN, error STRING, runs ARRAY<STRUCT<id: BIGINT, logs_url: STRING, triggering_actor: STRING, actor: STRING>>, ts TIMESTAMP"
+    at = lambda s: datetime.datetime(2024, 1, 1, 0, 0, s)
+    runs = [run(1), run(2), run(3)]
+    pages = spark.createDataFrame([("a", 1, 200, False, None, runs, at(1)), ("a", 1, 200, False, None, runs, at(2)), ("b", 1, 500, False, None, [], at(1)), ("b", 1, 200, False, None, runs, at(2))], fields)
+    steps = readiness.run_steps(pages).withColumn("outcome", F.when(F.col("kind") == "probe", "ok"))
+    assert status(readiness.fold_runs(steps, Settings(min_builds=5), ("page", "pos"))) == {"a": ("insufficient", 3), "b": ("insufficient", 3)}
+
+    from runsift.operators.providers import detect_providers
+    from runsift.sources import entities
+
+    probes = spark.createDataFrame([("a", "travis_yml", 200, None, at(1)), ("a", "travis_yml", 404, None, at(2))], "slug STRING, probe STRING, status INT, total_count BIGINT, ts TIMESTAMP")
+    assert detect_providers(probes).first().providers == []
+    chain = spark.createDataFrame([(0, 0, 1, 422, False, at(1)), (0, 0, 1, 200, False, at(2)), (0, 0, 2, 200, False, at(1))], "seg_idx INT, lang_idx INT, page INT, status INT, request_failed BOOLEAN, ts TIMESTAMP")
+    assert sorted(r.page for r in discover.cut_page_chains(chain).collect()) == [1, 2]
+    listed = spark.createDataFrame([("pull_commits", "p", 1, 200, "[1]", at(1)), ("pull_commits", "p", 1, 200, "[1]", at(2))], "entity STRING, parent STRING, page INT, status INT, body STRING, ts TIMESTAMP")
+    assert entities.entity_items(listed, "pull_commits").count() == 1

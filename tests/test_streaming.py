@@ -74,7 +74,7 @@ def test_passes_maintain_the_result_table(spark, tmp_path):
     first.coalesce(1).write.parquet(f"{work}/landing")
 
     def one_run():
-        stream = read_landed_stream(spark, "repo_pages", f"{work}/landing", files_per_batch=1)
+        stream = read_landed_stream(spark, "repo_pages", f"{work}/landing", files_per_batch=1, stamped=True)
         passes.run_passes(stream, lambda: tables, f"{work}/results", f"{work}/checkpoint", FEW_BUILDS, checked(), once=True).awaitTermination()
         return read_results(spark, f"{work}/results", RESULTS)
 
