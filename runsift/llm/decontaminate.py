@@ -5,7 +5,7 @@ every item. A document streams through it and the length of the longest match th
 or more, those words are hit. An item of fewer words counts when all of it occurs.
 
 Items reach the tasks in blocks of at most `block_words` words, one broadcast each, so that a broadcast never grows with the benchmark;
-documents pass each block. A word that no item holds sends the automaton to its root, so only runs of known words are looked at.
+documents pass each block, and are written after every `_CHAINED` of them, so that a task never holds more automata at once. A word that no item holds sends the automaton to its root, so only runs of known words are looked at.
 
 Null and empty texts have no words, no hits and stay. Repeated rows are judged alike. Repeated item ids count as one item. Without items
 nothing is hit. Result columns replace columns of the same name.
@@ -21,11 +21,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runsift.llm.frames import append_columns, follow_length, slices
+from runsift.llm.frames import append_columns, follow_length, settled, slices
 from runsift.llm.words import LETTER_OR_DIGIT, LOWER, hash_word, hashes, prefix_sums, spans, text_bytes
 
 WINDOW = 10
 BLOCK_WORDS = 50_000
+_CHAINED = 4
 
 
 def item_words(text: str | None) -> list[bytes]:
@@ -210,6 +211,8 @@ def find_hits(
                 items = [sorted({*a, *b}) for a, b in zip(before[1].to_pylist(), items, strict=True)]
             return [np.concatenate(counts) if counts else np.zeros(0, np.int64), where, items]
 
+        if k and k % _CHAINED == 0:
+            result = settled(result)
         result = append_columns(result, HIT_FIELDS, work, (text, "hit_spans", "hit_items") if k else (text,))
     return result
 
