@@ -39,7 +39,7 @@ _LEAD = np.array([b & 0xC0 != 0x80 for b in range(256)])
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_marks", "n_upper", "n_digits", "n_lines", "n_same_words")
 #: Least spread of each statistic: what no estimate may call smaller, so that a group of equal texts doesn't reject small differences.
-VECTOR = (("word_length", 0.25), ("symbols", 0.12), ("marks", 0.12), ("upper", 0.12), ("digits", 0.12), ("same_words", 0.12), ("repeats", 0.15))
+VECTOR = (("word_length", 0.25), ("symbols", 0.12), ("marks", 0.12), ("upper", 0.12), ("digits", 0.25), ("same_words", 0.12), ("repeats", 0.15))
 
 
 def statistics(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
