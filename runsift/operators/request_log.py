@@ -18,13 +18,13 @@ from runsift.operators.first_rows import first_rows
 from runsift.settings import Settings
 
 
-def fill_not_modified(log: DataFrame, slice_seconds: int = 3600) -> DataFrame:
+def fill_not_modified(log: DataFrame, slice_requests: int = 10_000) -> DataFrame:
     """Give each 304 the body of the newest earlier 200 with an ETag for the same request key.
 
     Adds ``served_status``, ``served_body`` and ``served_from``: ``own``,
     ``cache``, or ``open`` where nothing was cached. Only GET requests take part.
 
-    A key's history is cut into time slices, so that a key with a large share of
+    Order is that of ``log_seq`` alone. A key's history is cut into slices of it, so that a key with a large share of
     all requests is spread over tasks: within a slice the last body is carried by
     a window, and into a slice comes the last body of the slices before it, of
     which there is one row per key and slice. Rows that neither fill nor need the
@@ -42,7 +42,7 @@ def fill_not_modified(log: DataFrame, slice_seconds: int = 3600) -> DataFrame:
     # A source brings its body only, a request to be filled brings its columns only.
     marks = log.filter(not_modified | cacheable).select(
         "request_key",
-        F.floor(F.col("ts") / slice_seconds).alias("_slice"),
+        F.floor(F.col("log_seq") / slice_requests).alias("_slice"),
         "log_seq",
         F.when(cacheable, F.struct("body")).alias("_source"),
         F.when(not_modified, F.struct(*log.columns)).alias("_open"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog import landed as L
 from catalog.queries import FEW_BUILDS, landed_tables
 from runsift import Settings
-from runsift.operators import discover, readiness, results, worklist
+from runsift.operators import discover, readiness, request_log, results, worklist
 from runsift.plans.scan import rejected_hits, scan
 from runsift.schemas import LANDED, RESULT_KEY, RESULTS
 from runsift.sources.landing import read_landed_stream
@@ -123,3 +123,11 @@ def test_the_newest_landing_counts_once(spark):
     assert sorted(r.page for r in discover.cut_page_chains(chain).collect()) == [1, 2]
     listed = spark.createDataFrame([("pull_commits", "p", 1, 200, "[1]", at(1)), ("pull_commits", "p", 1, 200, "[1]", at(2))], "entity STRING, parent STRING, page INT, status INT, body STRING, ts TIMESTAMP")
     assert entities.entity_items(listed, "pull_commits").count() == 1
+
+
+def test_cached_bodies_follow_the_log_order_whatever_the_clock_says(spark):
+    rows = [(1, 9_000_000, 200, "e", "first"), (2, 5, 304, None, None)]
+    log = spark.createDataFrame(rows, "log_seq BIGINT, ts BIGINT, status INT, etag STRING, body STRING").withColumns({"method": F.lit("GET"), "url": F.lit("u"), "params": F.lit(None).cast("string")})
+    for size in (1, 10_000):
+        filled = {r.log_seq: (r.served_from, r.served_body) for r in request_log.fill_not_modified(log, size).collect()}
+        assert filled == {1: ("own", "first"), 2: ("cache", "first")}
