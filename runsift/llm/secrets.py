@@ -30,10 +30,15 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "guess")
 
-_CUES = ("passw", "secret", "token", "api", "pwd", "passphrase", "credential", "auth", "private")
+#: Credential words: a plain beginning, by which texts without any are passed over, and the rest of the pattern.
+_CREDENTIALS = (
+    ("password", ""), ("passwd", ""), ("passphrase", ""), ("pwd", ""), ("secret", ""), ("token", ""), ("api", "[_-]?key"), ("access", "[_-]?key"),
+    ("private", "[_-]?key"), ("credential", "s?"), ("auth", ""),
+)
+_CUES = tuple(begin for begin, _ in _CREDENTIALS)
 #: A credential word, more parts of a name, an assignment, and a value without spaces or quotes.
 _CONTEXT = re.compile(
-    r"""(?:password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|auth)[A-Za-z0-9_-]*["']?[\x20\t]*(?::=|=>|[:=]|\x20is\x20)[\x20\t]*["']?([!#-&(-~]+)""",
+    rf"""(?:{"|".join(map("".join, _CREDENTIALS))})[A-Za-z0-9_-]*["']?[\x20\t]*(?::=|=>|[:=]|\x20is\x20)[\x20\t]*["']?([!#-&(-~]+)""",
     re.IGNORECASE | re.ASCII,
 )
 # Common words of passwords and settings, from most to least usual; the rank is what a guesser pays.
