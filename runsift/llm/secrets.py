@@ -5,21 +5,25 @@ context (a credential word, optionally further name parts, and an assignment or
 dates, repeats, keyboard walks and brute-force spans so that the sum of their guess costs (log2 of the guesses) is least; a value that costs
 `least_bits` or more is taken for a secret and added as kind `guess`. The value is cut in whole, whatever its length.
 
-Only texts that hold a credential word are looked at for values. Null and empty texts have no secrets. Positions are code points. Repeated
+Only texts that hold a credential word are looked at for values. A credential word ends where its part of a name ends: `author` and
+`secretary` are none. Words rank as in three public vocabularies (see `ranked_words`). Null and empty texts have no secrets. Positions are code points. Repeated
 rows are judged alike; an empty table gives an empty result. Result columns replace columns of the same name.
 """
 
 from __future__ import annotations
 
+import base64
 import functools
 import hashlib
 import math
 import re
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from runsift.llm.frames import append_columns, follow_length
+from runsift.llm.pieces import SPACE, _fields
 
 LEAST_BITS = 40.0
 REPLACEMENT = "[secret]"
@@ -32,14 +36,19 @@ KINDS = ("assign", "access", "hex", "guess")
 
 #: Credential words: a plain beginning, by which texts without any are passed over, and the rest of the pattern.
 _CREDENTIALS = (
-    ("password", ""), ("passwd", ""), ("passphrase", ""), ("pwd", ""), ("secret", ""), ("token", ""), ("api", "[_-]?key"), ("access", "[_-]?key"),
-    ("private", "[_-]?key"), ("credential", "s?"), ("auth", ""),
+    ("password", "s?"), ("passwd", "s?"), ("passphrase", "s?"), ("pwd", "s?"), ("secret", "s?"), ("token", "s?"), ("api", "[_-]?keys?"),
+    ("access", "[_-]?keys?"), ("private", "[_-]?keys?"), ("credential", "s?"), ("auth", "(?:orization|entication)?"),
 )
 _CUES = tuple(begin for begin, _ in _CREDENTIALS)
+#: Parts of a name that often follow without a mark between, as in `passwordhash`.
+_JOINED = "key|id|hash|salt|string|str|text|value|val|field|file|name|prod|dev|test|live|admin|user|root|db"
+# Where a word of a name ends: no letter follows, or a capital after a small letter. `author` and `secretary` go on.
+_END = "(?:(?![A-Za-z])|(?<=[a-z])(?=[A-Z]))"
+# Before the word any letters may stand (`PGPASSWORD`, `dbpwd`, `oauth`): hardly a plain word ends like a credential word.
 #: A credential word, more parts of a name, an assignment, and a value without spaces or quotes.
 _CONTEXT = re.compile(
-    rf"""(?:{"|".join(map("".join, _CREDENTIALS))})[A-Za-z0-9_-]*["']?[\x20\t]*(?::=|=>|[:=]|\x20is\x20)[\x20\t]*["']?([!#-&(-~]+)""",
-    re.IGNORECASE | re.ASCII,
+    rf"""(?i:{"|".join(map("".join, _CREDENTIALS))})(?:{_END}|(?i:{_JOINED}){_END})[A-Za-z0-9_-]*["']?[\x20\t]*(?::=|=>|[:=]|\x20(?i:is)\x20)[\x20\t]*["']?([!#-&(-~]+)""",
+    re.ASCII,
 )
 # Common words of passwords and settings, from most to least usual; the rank is what a guesser pays.
 _WORDS = (
@@ -47,8 +56,8 @@ _WORDS = (
     "iloveyou trustno superman batman hello freedom whatever starwars default changeme example sample dummy demo guest root pass key "
     "api access auth client server database public private local dev prod stage config value string none null true false your here my the"
 ).split()
-_RANK = {w: k + 1 for k, w in enumerate(_WORDS)}
-_LONGEST = max(map(len, _WORDS))
+#: Public vocabularies whose words rank after those: English, and two of many languages. About 50,000 words and parts together.
+WORD_FILES = tuple(public_tokenizers.path(f) for f in ("byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model"))
 _ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz")
 _NEXT = {(a, b) for row in _ROWS for a, b in (*zip(row, row[1:]), *zip(row[1:], row))}
 _LEET = str.maketrans("@4301$5!7", "aaeoissit")
@@ -60,9 +69,45 @@ def _brute_bits(c: str) -> float:
     return math.log2(10 if c.isdigit() else 26 if c.isalpha() else 33)
 
 
+def _vocabulary(path: str) -> list[str]:
+    """Pieces of a vocabulary file by rank; a space stands before those that begin a word."""
+    with open(path, "rb") as file:
+        raw = file.read()
+    if path.endswith(".model"):
+        return [dict(_fields(v))[1].decode().replace(SPACE, " ") for k, v in _fields(raw) if k == 1]
+    ranks = sorted((int(rank), base64.b64decode(piece)) for piece, rank in map(bytes.split, raw.splitlines()))
+    return [piece.decode("utf-8", "replace") for _, piece in ranks]
+
+
+@functools.lru_cache(maxsize=2)
+def ranked_words(files: tuple[str, ...] = WORD_FILES) -> tuple[dict[str, int], frozenset[str], int]:
+    """Rank of each word in small letters, all beginnings of words, and the length of the longest.
+
+    The common words of passwords come first; then the whole words of the vocabularies (ASCII, three letters or more), each at its best place
+    among those of one file; then their parts of words of four letters or more, so that words that no vocabulary holds are few parts.
+    """
+    whole: dict[str, int] = {}
+    parts: dict[str, int] = {}
+    for path in files:
+        seen: tuple[set, set] = (set(), set())
+        for piece in _vocabulary(path):
+            word = piece.strip(" ").lower()
+            if not (word.isascii() and word.isalpha()):
+                continue
+            begins = piece.startswith(" ")
+            if len(word) >= (3 if begins else 4) and word not in seen[begins]:
+                seen[begins].add(word)
+                held = whole if begins else parts
+                held[word] = min(held.get(word, len(seen[begins])), len(seen[begins]))
+    ordered = [*_WORDS, *sorted(whole, key=lambda w: (whole[w], w)), *sorted(parts, key=lambda w: (parts[w], w))]
+    ranks = {w: k + 1 for k, w in enumerate(dict.fromkeys(ordered))}
+    return ranks, frozenset(w[:k] for w in ranks for k in range(1, len(w) + 1)), max(map(len, ranks))
+
+
 @functools.lru_cache(maxsize=1 << 14)
-def guess_bits(value: str) -> float:
-    """Least sum of log2 guesses over all segmentations of `value`."""
+def guess_bits(value: str, files: tuple[str, ...] = WORD_FILES) -> float:
+    """Least sum of log2 guesses over all segmentations of `value`; words rank as in the vocabulary `files`."""
+    ranks, begun, longest = ranked_words(files)
     n = len(value)
     lower = value.lower()
     plain = lower.translate(_LEET)
@@ -85,26 +130,35 @@ def guess_bits(value: str) -> float:
     spent = [0.0] * (n + 1)
     for i, c in enumerate(value):
         spent[i + 1] = spent[i] + _brute_bits(c)
+
+    def run(i: int, k: int, least: int, scale: int) -> float:
+        """Least cost of a run of `least` to `k` characters that ends at `i`, of log2(scale * length) bits.
+
+        Another segment may hold the first characters of the run, a word at most, or a date. Only segments of another kind that begin
+        before the run can make a later start better: within it, a longer run costs less than a shorter one after anything else.
+        """
+        return min(best[j] + math.log2(scale * (i - j)) for j in range(i - k, min(i - k + reach, i - least) + 1))
+
+    reach = max(longest, 10)
     brute = math.inf  # least of best[j] - spent[j] so far: a brute-force span that began at the best place
     for i in range(n + 1):
         if i:
             end = i - 1
-            best[i] = min(best[i], brute + spent[i] + _STEP_BITS)  # a date may have reached here before
-            for length in range(3, min(_LONGEST, i) + 1):
-                rank = _RANK.get(lower[i - length : i]) or 2 * (_RANK.get(plain[i - length : i]) or 0)
-                if rank:
-                    shape = 0.0 if value[i - length : i].islower() else 1.0
-                    best[i] = min(best[i], best[i - length] + math.log2(rank + 1) + shape + _STEP_BITS)
+            best[i] = min(best[i], brute + spent[i] + _STEP_BITS)  # a word or a date may have reached here before
             if same[end] >= 3:
-                k = same[end]
-                best[i] = min(best[i], best[i - k] + _brute_bits(value[end]) + math.log2(k) + _STEP_BITS)
+                best[i] = min(best[i], run(i, same[end], 3, 1) + _brute_bits(value[end]) + _STEP_BITS)
             if walk[end] >= 3:
-                k = walk[end]
-                best[i] = min(best[i], best[i - k] + math.log2(47 * 2 * k) + _STEP_BITS)
+                best[i] = min(best[i], run(i, walk[end], 3, 47 * 2) + _STEP_BITS)
             for p in range(2, 9):
-                k = period[p][end]
-                if k >= p and i - k >= p:
-                    best[i] = min(best[i], best[i - k] + math.log2(k) + _STEP_BITS)
+                if period[p][end] >= p:
+                    best[i] = min(best[i], run(i, period[p][end], p, 1) + _STEP_BITS)
+        for spelled, factor in ((lower, 1), (plain, 2)) if plain != lower else ((lower, 1),):
+            stop = i + 1
+            while stop <= n and (word := spelled[i:stop]) in begun:
+                if word in ranks:
+                    shape = 0.0 if value[i:stop].islower() else 1.0
+                    best[stop] = min(best[stop], best[i] + math.log2(factor * ranks[word] + 1) + shape + _STEP_BITS)
+                stop += 1
         for stop in dates.get(i, ()):
             bits = math.log2(120) if stop - i == 4 else math.log2(120 * 365 * 4)
             best[stop] = min(best[stop], best[i] + bits + _STEP_BITS)
