@@ -177,14 +177,27 @@ def travis_build_pages(spark: SparkSession, sf: str) -> DataFrame:
                 F.struct(F.col("build").alias("id"), F.timestamp_seconds(F.col("build") * 60).alias("started_at"), "jobs")
             ).alias("builds")
         )
-        .selectExpr(f"{slug('user_id')} AS slug", "200 AS status", "builds")
+        .selectExpr(f"{slug('user_id')} AS slug", "cast(stretch + 1 AS int) AS page", "200 AS status", "builds")
     )
     rest = customers_without_events(spark, sf).selectExpr(
         f"{slug('c_custkey')} AS slug",
+        "1 AS page",
         "CASE WHEN c_custkey % 2 = 0 THEN 404 ELSE 200 END AS status",
         "cast(array() AS array<struct<id: bigint, started_at: timestamp, jobs: array<struct<id: bigint>>>>) AS builds",
     )
-    return builds.unionByName(rest)
+    # Some lists landed before, refused where they are not now, or with later starts and fewer jobs of the same builds.
+    older = "transform(builds, b -> named_struct('id', b.id, 'started_at', b.started_at + interval 9 days, 'jobs', slice(b.jobs, 1, 1)))"
+    return (
+        builds.unionByName(rest)
+        .select("*", *landings("page % 2 = 1"))
+        .withColumns(
+            {
+                "status": F.expr("CASE WHEN first AND (status <> 200 OR length(slug) % 2 = 0) THEN 604 - status ELSE status END"),
+                "builds": F.expr(f"CASE WHEN first THEN {older} ELSE builds END"),
+            }
+        )
+        .drop("first")
+    )
 
 
 def travis_responses(spark: SparkSession, sf: str, api: str) -> DataFrame:

@@ -145,13 +145,20 @@ def fold_runs(
 def job_steps(build_pages: DataFrame, settings: Settings, api: str | None = None) -> DataFrame:
     """Jobs of the newest builds per slug: slug, ``build_rank``, ``job_pos``, ``log_url``.
 
-    A page that was refused or lists no build leaves one row without a build.
+    A page that was refused or lists no build leaves one row without a build. The newest landing of a list (of each
+    page, where ``page`` tells them apart) counts, and a build that several pages list counts once.
     """
     newest = F.col("build.started_at").desc_nulls_last(), F.col("build.id").desc_nulls_last()
-    builds = build_pages.select(
+    pages = newest_landings(build_pages, "slug", *[c for c in ("page",) if c in build_pages.columns])
+    landed = F.col("ts") if "ts" in pages.columns else F.lit(None).cast("timestamp")
+    builds = pages.select(
         "slug",
         F.explode_outer(F.when(F.col("status") == 200, F.col("builds"))).alias("build"),
+        landed.alias("_landed"),
     )
+    # Builds without an id are told apart by what they hold.
+    same = ["slug", F.col("build.id"), F.when(F.col("build.id").isNull(), F.col("build"))]
+    builds = first_rows(builds, same, [F.col("_landed").desc_nulls_last(), F.col("build").desc()], 1).drop("_landed")
     order = [F.col("build").isNull(), *newest]
     in_time = Window.partitionBy("slug").orderBy(*order)
     builds = thin_hot_keys(builds, ["slug"], order, settings.travis_builds, settings.hot_key_splits, ["build"])

@@ -19,7 +19,7 @@ LANDED = {
     ),
     "responses": "url STRING, ts TIMESTAMP, status INT, location STRING, body STRING",
     "travis_build_pages": (
-        "slug STRING, status INT, "
+        "slug STRING, page INT, status INT, "
         "builds ARRAY<STRUCT<id: BIGINT, started_at: TIMESTAMP, jobs: ARRAY<STRUCT<id: BIGINT>>>>"
     ),
     "request_log": (

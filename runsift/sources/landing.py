@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from runsift.schemas import LANDED, RESULTS
 
 
-def read_landed(spark: SparkSession, table: str, path: str, fmt: str = "parquet", stamped: bool = False) -> DataFrame:
+def read_landed(spark: SparkSession, table: str, path: str, fmt: str = "parquet", stamped: bool | None = None) -> DataFrame:
     """A landed table with its declared schema; ``fmt`` is any Spark file format (parquet, orc, json).
 
     ``stamped`` tables hold the time of each landing, ``ts``, and may hold a page more than once: the newest counts.
+    Where it is not given, the rows are looked at for one with such a time.
     """
+    if stamped is None:
+        stamped = not spark.read.format(fmt).schema("ts TIMESTAMP").load(path).filter("ts IS NOT NULL").isEmpty()
     return spark.read.format(fmt).schema(_schema(table, stamped)).load(path)
 
 

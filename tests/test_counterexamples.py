@@ -10,7 +10,7 @@ from runsift import Settings
 from runsift.operators import discover, readiness, request_log, results, worklist
 from runsift.plans.scan import rejected_hits, scan
 from runsift.schemas import LANDED, RESULT_KEY, RESULTS
-from runsift.sources.landing import read_landed_stream
+from runsift.sources.landing import read_landed, read_landed_stream
 from runsift.sources.results import _versions, read_results, write_results
 from runsift.streaming import passes
 from test_streaming import run_readiness
@@ -131,3 +131,29 @@ def test_cached_bodies_follow_the_log_order_whatever_the_clock_says(spark):
     for size in (1, 10_000):
         filled = {r.log_seq: (r.served_from, r.served_body) for r in request_log.fill_not_modified(log, size).collect()}
         assert filled == {1: ("own", "first"), 2: ("cache", "first")}
+
+
+def test_newest_landing_of_a_build_list_counts_once(spark, tmp_path):
+    at = lambda s: datetime.datetime(2024, 1, 1, 0, 0, s)
+    schema = f"{LANDED['travis_build_pages']}, ts TIMESTAMP"
+    build = lambda i, at_, *jobs: (i, at(at_), [(j,) for j in jobs])
+    rows = [
+        ("twice", 1, 200, [build(1, 1, 10), build(2, 2, 20)], at(1)),
+        ("twice", 1, 200, [build(2, 2, 20), build(3, 3, 30)], at(2)),
+        ("twice", 2, 200, [build(2, 2, 21), build(1, 1, 10)], at(1)),  # builds moved on to the next page meanwhile
+        ("gone", 1, 200, [build(4, 4, 40)], at(1)),
+        ("gone", 1, 404, None, at(2)),
+    ]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/lists")
+    found = readiness.job_steps(read_landed(spark, "travis_build_pages", f"{tmp_path}/lists"), Settings(travis_builds=3), "h").collect()
+    assert sorted((r.slug, r.build_rank, r.log_url) for r in found) == [
+        ("gone", 1, None), ("twice", 1, "h/job/30/log"), ("twice", 2, "h/job/20/log"), ("twice", 3, "h/job/10/log"),
+    ]
+
+
+def test_landing_times_are_read_where_the_files_hold_them(spark, tmp_path):
+    at = lambda s: datetime.datetime(2024, 1, 1, 0, 0, s)
+    pages = [("a", 1, 500, False, None, [], at(1)), ("a", 1, 404, False, None, [], at(2))]
+    spark.createDataFrame(pages, f"{LANDED['run_pages']}, ts TIMESTAMP").write.json(f"{tmp_path}/pages")
+    steps = readiness.run_steps(read_landed(spark, "run_pages", f"{tmp_path}/pages", "json")).collect()
+    assert [(r.slug, r.kind) for r in steps] == [("a", "list_missing")]
