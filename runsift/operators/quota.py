@@ -20,22 +20,25 @@ MINUTE = 60
 KEYS = ["pool", "credential_hash"]
 
 
-def _flags(log: DataFrame) -> DataFrame:
+def _flags(log: DataFrame, travis_pool: str | None = None) -> DataFrame:
     status, failed = F.col("status"), F.coalesce(F.col("failed"), F.lit(False))
-    exhausted = quota_exhausted(status, F.col("remaining"))
-    removes = F.coalesce(status == 401, F.lit(False))
+    # The Travis client neither removes nor disables; it looks at no header of a 429 or a server error.
+    travis = F.lit(False) if travis_pool is None else F.coalesce(F.col("pool") == travis_pool, F.lit(False))
+    unread = travis & F.coalesce((status == 429) | ((status >= 500) & (status < 600)), F.lit(False))
+    exhausted = F.when(travis, F.coalesce(status == 429, F.lit(False))).otherwise(quota_exhausted(status, F.col("remaining")))
+    removes = F.coalesce(status == 401, F.lit(False)) & ~travis
     # Exhausted by a 403 is retried at once, so its text is not looked at.
-    spam = is_spam_flag(status, F.col("body")) & ~removes & ~((status == 403) & exhausted)
+    spam = is_spam_flag(status, F.col("body")) & ~travis & ~removes & ~((status == 403) & exhausted)
     return log.select(
         *KEYS,
         "log_seq",
         "ts",
-        F.col("remaining").try_cast("bigint").alias("remaining"),
-        F.floor(F.col("reset").try_cast("double")).alias("reset"),
+        F.when(~unread, F.col("remaining").try_cast("bigint")).alias("remaining"),
+        F.when(~unread, F.floor(F.col("reset").try_cast("double"))).alias("reset"),
         exhausted.alias("exhausted"),
         removes.alias("removes"),
         spam.alias("spam"),
-        (~failed).alias("answered"),
+        (~failed & ~unread).alias("answered"),
     )
 
 
@@ -49,21 +52,23 @@ def _common(exhausted: Column) -> list[Column]:
     ]
 
 
-def quota_state(log: DataFrame) -> DataFrame:
+def quota_state(log: DataFrame, travis_pool: str | None = None) -> DataFrame:
     """Stored mode: last known quota per pool and credential.
 
     A rate-limited answer leaves nothing and sets the reset a cool-off ahead.
     A null ``remaining`` or ``reset_time`` means that no answer has set it.
+    Rows of ``travis_pool``, where it is named, follow the Travis client: a 429
+    uses up the quota, server errors change nothing, nothing removes or disables.
     """
     exhausted = F.col("exhausted")
     reset = F.when(exhausted, F.col("ts") + fv.COOL_OFF_SECONDS).otherwise(F.col("reset"))
-    return _flags(log).groupBy(*KEYS).agg(
+    return _flags(log, travis_pool).groupBy(*KEYS).agg(
         *_common(exhausted),
         F.max_by(reset, F.when(reset.isNotNull(), F.col("log_seq"))).alias("reset_time"),
     )
 
 
-def quota_state_in_memory(log: DataFrame) -> DataFrame:
+def quota_state_in_memory(log: DataFrame, travis_pool: str | None = None) -> DataFrame:
     """Memory mode: a rate-limited answer moves the reset only if the reset is past.
 
     Each such move depends on the move before it. What matters is the last reset
@@ -71,7 +76,7 @@ def quota_state_in_memory(log: DataFrame) -> DataFrame:
     packed into one 60-bit mask per credential and minute, so what is folded in
     order grows with the minutes of the log and not with its rows.
     """
-    flags = _flags(log)
+    flags = _flags(log, travis_pool)
     state = flags.groupBy(*KEYS).agg(
         *_common(F.col("exhausted")),
         F.max(F.when(F.col("reset").isNotNull(), F.col("log_seq"))).alias("_header_at"),

@@ -52,7 +52,8 @@ def run_passes(
 
 
 def run_quota_passes(
-    request_log: DataFrame, state_base: str, checkpoint: str, settings: Settings, once: bool = False
+    request_log: DataFrame, state_base: str, checkpoint: str, settings: Settings, once: bool = False,
+    travis_pool: str | None = None,
 ) -> StreamingQuery:
     """Lay the quota fold of each newly landed piece of the request log over the stored rows."""
 
@@ -60,7 +61,7 @@ def run_quota_passes(
         schema = LANDED["quota_state"]
         writer = batch_writer(batch, batch_id)
         stored = read_results(batch.sparkSession, state_base, schema, not_by=writer)
-        write_results(merge_quota(stored, quota_state(batch)), state_base, by=writer)
+        write_results(merge_quota(stored, quota_state(batch, travis_pool)), state_base, by=writer)
 
     return _start(request_log, one_pass, checkpoint, settings, once)
 

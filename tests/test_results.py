@@ -130,6 +130,20 @@ def test_retries_used(spark):
     assert got == {(1, 1): 0, (1, 2): 1, (1, 3): 1, (1, 4): 2, (1, 5): 2, (1, 6): 2, (2, 1): 0}
 
 
+def test_travis_pool_follows_the_travis_client(spark):
+    base = {"pool": "travis", "remaining": "50", "reset": "900"}
+    later = {"401": {"status": 401}, "403": {"status": 403, "remaining": "0"}, "spam": {"status": 422, "body": "flagged as Spammy"},
+             "429": {"status": 429, "remaining": "7", "reset": "5000"}, "503": {"status": 503, "remaining": "7", "reset": "5000"},
+             "lost": {"failed": True}}
+    rows = [{**base, "log_seq": 1, "ts": 1000, "credential_hash": h, "status": 200} for h in later]
+    rows += [{**base, **answer, "log_seq": 2, "ts": 1010, "credential_hash": h} for h, answer in later.items()]
+    want = {"401": (50, 900, 1010), "403": (0, 900, 1010), "spam": (50, 900, 1010), "429": (0, 1070, 1000), "503": (50, 900, 1000), "lost": (50, 900, 1000)}
+    for fold in (quota.quota_state, quota.quota_state_in_memory):
+        got = fold(log_frame(spark, rows), travis_pool="travis").collect()
+        assert {r.credential_hash: (r.remaining, r.reset_time, r.last_used) for r in got} == want
+        assert not any(r.removed or r.disabled for r in got)
+
+
 def test_quota_in_memory_moves_only_past_resets(spark):
     rows = [{"log_seq": i, "ts": t, "credential_hash": "h", "pool": "p", "status": 429} for i, t in enumerate((1000, 1030, 1061))]
     one = quota.quota_state_in_memory(log_frame(spark, rows[:2])).first()
