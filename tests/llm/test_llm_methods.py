@@ -233,6 +233,17 @@ def test_outliers_of_their_group_go(spark):
     assert kept == set(range(300))
 
 
+def test_one_statistic_alone_makes_an_outlier(spark):
+    rnd = random.Random(6)
+    word = lambda letters: "".join(rnd.choice(letters) for _ in range(rnd.randint(2, 8)))
+    words = lambda n, letters="abcdefgh": [word(letters) for _ in range(n)]
+    odd = [" ".join(words(400, "0123456789")), " ".join([*words(380), *words(50) * 3]), " ".join(words(400)[:300] + ["#"] * 30)]
+    rows = [(i, "\n".join(" ".join(words(6)) for _ in range(70)), "en", "s") for i in range(300)] + [(900 + i, x, "en", "s") for i, x in enumerate(odd)]
+    judged = rules.judge(spark.createDataFrame(rows, "doc_id int, text string, lang string, source string"))
+    gone = {r.doc_id for r in judged.where("not kept and not base_failed").collect()}
+    assert gone >= {900, 901, 902} and len(gone) <= 6
+
+
 def test_hashes_depend_on_the_bytes_alone():
     data = np.frombuffer(b"xabcxxabc", np.uint8)
     a, b = hashes(prefix_sums(data), np.array([1, 6]), np.array([4, 9]))
