@@ -9,6 +9,7 @@ from runsift.llm import pieces
 from runsift.llm.decontaminate import contamination_digest
 from runsift.llm.frames import table
 from runsift.llm.language import language_digest
+from runsift.llm.manifest import manifest_digest
 from runsift.llm.near import near_digest
 from runsift.llm.quality import quality_digest
 from runsift.llm.repeats import repeats_digest
@@ -58,7 +59,26 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_sentencepiece, op3_benchmark_decontamination, op4_suffix_array_dedup, op5_language_id, op6_minhash_near_dedup, op7_toxicity, op8_quality_classifier, op9_secret_scans, op10_quality_rules)}
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_counts,
+        op2_sentencepiece,
+        op3_benchmark_decontamination,
+        op4_suffix_array_dedup,
+        op5_language_id,
+        op6_minhash_near_dedup,
+        op7_toxicity,
+        op8_quality_classifier,
+        op9_secret_scans,
+        op10_quality_rules,
+        op11_merkle_manifest,
+    )
+}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -103,5 +123,76 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.d
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least_ USING (doc_id)
 """
 
+def _field(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR) END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_OP11 = f"""
+WITH RECURSIVE tab(n, k, c) AS (
+    SELECT i, 0, CAST(i AS UBIGINT) FROM range(256) t(i)
+    UNION ALL SELECT n, k + 1, CASE WHEN c & 1 = 1 THEN xor(CAST(3988292384 AS UBIGINT), c >> 1) ELSE c >> 1 END FROM tab WHERE k < 8
+),
+crct AS (SELECT n, c FROM tab WHERE k = 8),
+ids AS (SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR) AS s FROM documents WHERE doc_id IS NOT NULL),
+crc(doc_id, s, i, c) AS (
+    SELECT doc_id, s, 0, CAST(4294967295 AS UBIGINT) FROM ids
+    UNION ALL
+    SELECT crc.doc_id, crc.s, i + 1, xor(crct.c, crc.c >> 8) FROM crc
+    JOIN crct ON crct.n = (xor(crc.c, CAST(ascii(substr(crc.s, i + 1, 1)) AS UBIGINT)) & 255) WHERE i < strlen(crc.s)
+),
+crcs AS (SELECT doc_id, xor(c, CAST(4294967295 AS UBIGINT)) AS crc FROM crc WHERE i = strlen(s)),
+rows_ AS (
+    SELECT doc_id, lang, {_leaf("text")} AS leaf,
+        {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS lowered,
+        row_number() OVER () AS rid
+    FROM documents
+),
+lv0 AS (
+    SELECT r.*, CASE WHEN crcs.crc % 3 = 0 THEN lowered ELSE leaf END AS fleaf,
+        dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS lk,
+        row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+    FROM rows_ r LEFT JOIN crcs USING (doc_id)
+),
+lt(l, lk, idx, h, cnt) AS (
+    SELECT 0, lk, pos, leaf, count(*) OVER (PARTITION BY lk) FROM lv0
+    UNION ALL
+    SELECT l + 1, lk, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), max((cnt + 7) // 8) FROM lt WHERE cnt > 1 GROUP BY l, lk, idx // 8
+),
+sub AS (SELECT lk, h FROM lt WHERE cnt = 1),
+rt(l, idx, h, cnt) AS (
+    SELECT 0, lk, h, count(*) OVER () FROM sub
+    UNION ALL
+    SELECT l + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), max((cnt + 7) // 8) FROM rt WHERE cnt > 1 GROUP BY l, idx // 8
+),
+top AS (SELECT h FROM rt WHERE cnt = 1),
+w0(rid, lk, l, idx, f, proof) AS (
+    SELECT rid, lk, 0, pos, fleaf, '' FROM lv0
+    UNION ALL
+    SELECT w.rid, w.lk, w.l + 1, w.idx // 8,
+        sha256(string_agg(CASE WHEN s.idx = w.idx THEN w.f ELSE s.h END, '' ORDER BY s.idx)),
+        w.proof || string_agg(CASE WHEN s.idx = w.idx THEN '' ELSE s.h END, '' ORDER BY s.idx)
+    FROM w0 w JOIN lt s ON s.lk = w.lk AND s.l = w.l AND s.idx // 8 = w.idx // 8 AND s.cnt > 1
+    GROUP BY w.rid, w.lk, w.l, w.idx, w.f, w.proof
+),
+end0 AS (SELECT w.* FROM w0 w JOIN lt s ON s.lk = w.lk AND s.l = w.l AND s.cnt = 1),
+w1(rid, l, idx, f, proof) AS (
+    SELECT rid, 0, lk, f, proof FROM end0
+    UNION ALL
+    SELECT w.rid, w.l + 1, w.idx // 8,
+        sha256(string_agg(CASE WHEN s.idx = w.idx THEN w.f ELSE s.h END, '' ORDER BY s.idx)),
+        w.proof || string_agg(CASE WHEN s.idx = w.idx THEN '' ELSE s.h END, '' ORDER BY s.idx)
+    FROM w1 w JOIN rt s ON s.l = w.l AND s.idx // 8 = w.idx // 8 AND s.cnt > 1
+    GROUP BY w.rid, w.l, w.idx, w.f, w.proof
+),
+end1 AS (SELECT w.* FROM w1 w JOIN rt s ON s.l = w.l AND s.cnt = 1)
+SELECT v.doc_id, v.leaf, sub.h AS subroot, top.h AS root, sha256(e.proof) AS proof_sha256, e.f AS folded_root,
+    e.f = top.h AS verified, v.lang, CAST(v.pos AS BIGINT) AS pos
+FROM lv0 v JOIN sub USING (lk) JOIN end1 e USING (rid), top
+"""
+
 #: The others need encoders, learned models, byte arithmetic over all positions, or several statements.
-SQL: dict[str, str] = {"op3_benchmark_decontamination": _OP3, "op6_minhash_near_dedup": _OP6}
+SQL: dict[str, str] = {"op3_benchmark_decontamination": _OP3, "op6_minhash_near_dedup": _OP6, "op11_merkle_manifest": _OP11}
