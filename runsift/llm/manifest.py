@@ -155,9 +155,10 @@ def manifest(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
         leaf_hash(c("doc_id"), c("source"), c("lang"), c("n_chars"), c("text")).alias("leaf"),
         F.when(tampered(c("doc_id")), leaf_hash(c("doc_id"), c("source"), c("lang"), c("n_chars"), F.translate("text", _UPPER, _UPPER.lower()))).alias("changed"),
     )
-    langs = rows.select("lang").distinct().withColumn("lk", F.row_number().over(Window.orderBy(F.col("lang").asc_nulls_first())) - 1)
-    langs = _bounded(langs)
-    leaves = _numbered(rows.join(langs, rows["lang"].eqNullSafe(langs["lang"])).drop(langs["lang"]), "lk", ["lk", "doc_id", "leaf"])
+    # Langs are numbered in order (a window over one row per lang); a null lang is a key of its own.
+    rows = rows.withColumn("_lang", F.concat(F.when(c("lang").isNull(), "0").otherwise("1"), F.coalesce("lang", F.lit(""))))
+    langs = rows.select("_lang").distinct().withColumn("lk", (F.row_number().over(Window.orderBy("_lang")) - 1).cast("long"))
+    leaves = _numbered(rows.join(_bounded(langs), "_lang").drop("_lang"), "lk", ["lk", "doc_id", "leaf"])
     leaves = leaves.withColumn("sb", F.shiftright("pos", 3 * levels))
     totals = _bounded(leaves.groupBy("lk").agg(F.count("*").alias("total")))
 
