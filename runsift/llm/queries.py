@@ -11,6 +11,7 @@ from runsift.llm.frames import table
 from runsift.llm.language import language_digest
 from runsift.llm.manifest import manifest_digest
 from runsift.llm.near import near_digest
+from runsift.llm.pivots import links_digest
 from runsift.llm.quality import quality_digest
 from runsift.llm.repeats import repeats_digest
 from runsift.llm.rules import rules_digest
@@ -63,6 +64,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_digest(table(spark, sf_dir, "documents"))
 
 
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return links_digest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -77,6 +82,7 @@ QUERIES = {
         op9_secret_scans,
         op10_quality_rules,
         op11_merkle_manifest,
+        op13_embedding_near_dedup,
     )
 }
 
@@ -194,5 +200,31 @@ SELECT v.doc_id, v.leaf, sub.h AS subroot, top.h AS root, sha256(e.proof) AS pro
 FROM lv0 v JOIN sub USING (lk) JOIN end1 e USING (rid), top
 """
 
+_OP13 = """
+WITH RECURSIVE r AS (SELECT DISTINCT vec_id, label, embedding FROM embeddings),
+r2 AS (
+    SELECT *, row_number() OVER () AS rid,
+        coalesce(vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+            AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+            AND list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))) > 0, false) AS ok
+    FROM r
+),
+v AS (
+    SELECT rid, vec_id, label, CAST(embedding AS DOUBLE[]) AS e, sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x))) AS n
+    FROM r2 WHERE ok
+),
+link AS (
+    SELECT a.rid AS u, b.rid AS w FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.rid < b.rid
+    WHERE list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.93
+),
+sym AS (SELECT u, w FROM link UNION ALL SELECT w, u FROM link),
+reach(a, b) AS (SELECT u, w FROM sym UNION SELECT reach.a, sym.w FROM reach JOIN sym ON reach.b = sym.u),
+comp AS (SELECT reach.a AS rid, min(v.vec_id) AS m FROM reach JOIN v ON v.rid = reach.b GROUP BY reach.a),
+cnt AS (SELECT u AS rid, count(*) AS k FROM sym GROUP BY u)
+SELECT r2.vec_id, CAST(coalesce(cnt.k, 0) AS BIGINT) AS n_links, CAST(least(r2.vec_id, coalesce(comp.m, r2.vec_id)) AS BIGINT) AS component_id,
+    coalesce(r2.vec_id = least(r2.vec_id, coalesce(comp.m, r2.vec_id)), false) AS kept, r2.label
+FROM r2 LEFT JOIN cnt USING (rid) LEFT JOIN comp USING (rid)
+"""
+
 #: The others need encoders, learned models, byte arithmetic over all positions, or several statements.
-SQL: dict[str, str] = {"op3_benchmark_decontamination": _OP3, "op6_minhash_near_dedup": _OP6, "op11_merkle_manifest": _OP11}
+SQL: dict[str, str] = {"op3_benchmark_decontamination": _OP3, "op6_minhash_near_dedup": _OP6, "op11_merkle_manifest": _OP11, "op13_embedding_near_dedup": _OP13}
