@@ -11,6 +11,7 @@ from runsift.llm.frames import table
 from runsift.llm.language import language_digest
 from runsift.llm.manifest import manifest_digest
 from runsift.llm.near import near_digest
+from runsift.llm.phrases import collocations
 from runsift.llm.pivots import links_digest
 from runsift.llm.quality import quality_digest
 from runsift.llm.repeats import repeats_digest
@@ -64,6 +65,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_digest(table(spark, sf_dir, "documents"))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links_digest(table(spark, sf_dir, "embeddings"))
 
@@ -82,6 +87,7 @@ QUERIES = {
         op9_secret_scans,
         op10_quality_rules,
         op11_merkle_manifest,
+        op12_phrase_collocations,
         op13_embedding_near_dedup,
     )
 }
@@ -226,5 +232,39 @@ SELECT r2.vec_id, CAST(coalesce(cnt.k, 0) AS BIGINT) AS n_links, CAST(least(r2.v
 FROM r2 LEFT JOIN cnt USING (rid) LEFT JOIN comp USING (rid)
 """
 
+_OP12 = f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, {_LOWER} AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \x09]+'), lambda x: x <> '') AS ws FROM p),
+totals AS (SELECT lang, sum(len(ws)) AS n FROM w GROUP BY lang),
+g AS (
+    SELECT lang, m, unnest([array_to_string(ws[i:i + m - 1], ' ') FOR i IN range(1, len(ws) - m + 2)]) AS phrase
+    FROM w, (SELECT unnest(range(1, 6)) AS m) WHERE len(ws) >= m
+),
+f AS (SELECT lang, phrase, m, count(*) AS f FROM g GROUP BY ALL),
+cand AS (SELECT lang, phrase, m, f AS a FROM f WHERE m >= 2 AND f >= 100),
+inner_ AS (
+    SELECT c.lang, c.a, unnest([array_to_string(string_split(c.phrase, ' ')[i:i + k - 1], ' ') FOR i IN range(1, c.m - k + 2)]) AS phrase
+    FROM cand c, (SELECT unnest(range(2, 5)) AS k) WHERE k < c.m
+),
+covered AS (SELECT lang, phrase, max(a) AS outer_ FROM inner_ GROUP BY ALL),
+kept AS (SELECT c.* FROM cand c LEFT JOIN covered v USING (lang, phrase) WHERE v.outer_ IS NULL OR v.outer_ < c.a),
+cuts AS (
+    SELECT k.lang, k.phrase, k.a, j AS k, array_to_string(string_split(k.phrase, ' ')[1:j], ' ') AS lp,
+        array_to_string(string_split(k.phrase, ' ')[j + 1:], ' ') AS rp
+    FROM kept k, (SELECT unnest(range(1, 5)) AS j) WHERE j < k.m
+),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, c.k, fl.f AS l, fr.f AS r, t.n,
+        CAST((CAST(1000 AS HUGEINT) * c.a * t.n) // (CAST(fl.f AS HUGEINT) * fr.f) AS BIGINT) AS score
+    FROM cuts c JOIN f fl ON fl.lang = c.lang AND fl.phrase = c.lp JOIN f fr ON fr.lang = c.lang AND fr.phrase = c.rp JOIN totals t ON t.lang = c.lang
+),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM best)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+    CAST(n AS BIGINT) AS n, score, CAST(k AS BIGINT) AS k
+FROM ranked WHERE rank <= 2000
+"""
+
 #: The others need encoders, learned models, byte arithmetic over all positions, or several statements.
-SQL: dict[str, str] = {"op3_benchmark_decontamination": _OP3, "op6_minhash_near_dedup": _OP6, "op11_merkle_manifest": _OP11, "op13_embedding_near_dedup": _OP13}
+SQL: dict[str, str] = {"op3_benchmark_decontamination": _OP3, "op6_minhash_near_dedup": _OP6, "op11_merkle_manifest": _OP11, "op12_phrase_collocations": _OP12, "op13_embedding_near_dedup": _OP13}
