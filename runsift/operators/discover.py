@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from runsift import fixed_values as fv
 from runsift.functions.text import is_slug
-from runsift.operators.first_rows import first_rows, newest_landings, thin_hot_keys
+from runsift.operators.first_rows import first_hole, first_rows, newest_walk, thin_hot_keys
 from runsift.settings import Settings
 
 #: Fields that a search order may go by, the first that the rows have.
@@ -29,11 +29,15 @@ def cut_page_chains(pages: DataFrame) -> DataFrame:
 
     Only the first bad page number per chain is shuffled and joined back; the
     item arrays stay where they were read unless that table outgrows a broadcast.
+    The newest walk through each chain counts whole, and a page that never landed
+    before a landed one is bad as well.
     """
-    pages = newest_landings(pages, "seg_idx", "lang_idx", "page")
+    pages = newest_walk(pages, "seg_idx", "lang_idx")
     bad = bad_page(F.col("status"), F.col("request_failed"))
+    holes = first_hole(pages, "seg_idx", "lang_idx").withColumnRenamed("_hole", "page")
     first_bad = (
-        pages.filter(bad).groupBy("seg_idx", "lang_idx").agg(F.min("page").alias("_first_bad"))
+        pages.filter(bad).select("seg_idx", "lang_idx", "page").unionByName(holes)
+        .groupBy("seg_idx", "lang_idx").agg(F.min("page").alias("_first_bad"))
     )
     return (
         pages.filter(~bad)

@@ -43,3 +43,40 @@ def thin_hot_keys(
         return df
     part = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(splits))
     return first_rows(df.withColumn("_part", part), [*keys, "_part"], order, n).drop("_part")
+
+
+def newest_walk(rows: DataFrame, *keys: str, page: str = "page", landed: str = "ts") -> DataFrame:
+    """The newest landing of each list (``keys``) whole: its pages, and no page of an older walk through it.
+
+    A walk through a list begins at its page 1. Pages landed at or after the newest page 1 of a list belong to the
+    newest walk; older pages drop out, even where the newest walk did not reach them. A list without a landed page 1
+    keeps all its pages. Within the walk, the newest landing of each page counts (``newest_landings``); equal times
+    are told apart by the row's content, so that the choice does not depend on partitioning. Rows without ``landed``
+    have landed once.
+
+    Only the newest start per list is aggregated (partially, before the shuffle) and joined back, so a list with a
+    large share of all pages costs no task of its own size.
+    """
+    if landed not in rows.columns:
+        return rows
+    starts = rows.filter(F.col(page) == 1).groupBy(*keys).agg(F.max(landed).alias("_start"))
+    walk = rows.join(starts, list(keys), "left").filter(F.col("_start").isNull() | (F.col(landed) >= F.col("_start")))
+    content = F.xxhash64(*[F.col(c) for c in rows.columns if c != landed])
+    ranked = first_rows(walk.drop("_start"), [*keys, page], [F.col(landed).desc_nulls_last(), content.desc()], 1)
+    return ranked
+
+
+def first_hole(pages: DataFrame, *keys: str, page: str = "page") -> DataFrame:
+    """(keys, ``_hole``) of each list with a hole: the smallest page number from 1 on that did not land while a later
+    page did. A list whose page 1 never landed has its hole at 1; a list whose landed pages run 1, 2, ... has none."""
+    landed = pages.select(*keys, page).filter(F.col(page) >= 1).distinct()
+    ends = landed.groupBy(*keys).agg(F.min(page).alias("_low"), F.max(page).alias("_top"))
+    after = landed.select(*keys, (F.col(page) + 1).alias(page))
+    inner = (
+        after.join(landed, [*keys, page], "left_anti")
+        .join(ends, list(keys))
+        .filter(F.col(page) < F.col("_top"))
+        .select(*keys, F.col(page).alias("_hole"))
+    )
+    first = ends.filter(F.col("_low") > 1).select(*keys, F.lit(1).alias("_hole"))
+    return inner.unionByName(first).groupBy(*keys).agg(F.min("_hole").alias("_hole"))

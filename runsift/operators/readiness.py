@@ -19,7 +19,7 @@ from runsift import fixed_values as fv
 from runsift.functions.actors import run_actor, worth_a_request
 from runsift.functions.messages import message_for, status_for
 from runsift.functions.text import travis_log_address
-from runsift.operators.first_rows import first_rows, newest_landings, thin_hot_keys
+from runsift.operators.first_rows import first_hole, first_rows, newest_landings, newest_walk, thin_hot_keys
 from runsift.settings import Settings
 
 # Kinds of steps that end a list of runs, whatever comes after.
@@ -35,8 +35,15 @@ def run_steps(pages: DataFrame) -> DataFrame:
     (with a ``kind`` and perhaps a ``detail``) in place of its runs. A run worth
     a request gives a probe; other runs give none, but the first run of the
     first page stays as an idle step so that no repository is lost.
+
+    The newest walk through each list counts whole (:func:`newest_walk`). A page
+    that never landed below a landed one (or a missing page 1) is a request that
+    failed: a ``list_failed`` event at the first such hole, and pages after it
+    are not read. A walk that ends on a page with runs ends the list there.
     """
-    pages = newest_landings(pages, "slug", "page")
+    pages = newest_walk(pages, "slug")
+    holes = first_hole(pages, "slug")
+    pages = pages.join(holes, "slug", "left").filter(F.col("_hole").isNull() | (F.col("page") < F.col("_hole"))).drop("_hole")
     status, page, pos = F.col("status"), F.col("page"), F.col("pos")
     failed = F.coalesce(F.col("request_failed"), F.lit(False))
     listed = ~failed & F.coalesce(status == 200, F.lit(False))
@@ -58,11 +65,17 @@ def run_steps(pages: DataFrame) -> DataFrame:
         .when(worthy, "probe")
         .otherwise("idle")
     )
-    return kept.select(
+    steps = kept.select(
         "slug", "page", F.coalesce(pos, F.lit(-1)).alias("pos"), kind.alias("kind"),
         F.when(pos.isNull(), F.when(F.col("failed"), F.col("error")).otherwise(status.cast("string"))).alias("detail"),
         F.when(~first | worthy, F.col("run.logs_url")).alias("log_url"),
     )
+    missing = holes.select(
+        "slug", F.col("_hole").alias("page"), F.lit(-1).alias("pos"), F.lit("list_failed").alias("kind"),
+        F.concat(F.lit("page "), F.col("_hole").cast("string"), F.lit(" never landed")).alias("detail"),
+        F.lit(None).cast("string").alias("log_url"),
+    )
+    return steps.unionByName(missing)
 
 
 def can_decide(steps: DataFrame) -> Column:
@@ -145,11 +158,12 @@ def fold_runs(
 def job_steps(build_pages: DataFrame, settings: Settings, api: str | None = None) -> DataFrame:
     """Jobs of the newest builds per slug: slug, ``build_rank``, ``job_pos``, ``log_url``.
 
-    A page that was refused or lists no build leaves one row without a build. The newest landing of a list (of each
-    page, where ``page`` tells them apart) counts, and a build that several pages list counts once.
+    A page that was refused or lists no build leaves one row without a build. The newest walk through a list counts
+    (:func:`newest_walk`, where ``page`` tells pages apart; else the newest landing), and a build that several pages
+    list counts once.
     """
     newest = F.col("build.started_at").desc_nulls_last(), F.col("build.id").desc_nulls_last()
-    pages = newest_landings(build_pages, "slug", *[c for c in ("page",) if c in build_pages.columns])
+    pages = newest_walk(build_pages, "slug") if "page" in build_pages.columns else newest_landings(build_pages, "slug")
     landed = F.col("ts") if "ts" in pages.columns else F.lit(None).cast("timestamp")
     builds = pages.select(
         "slug",

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runsift.functions.entities import graphql_body, graphql_has_errors, object_or_null
-from runsift.operators.first_rows import newest_landings
+from runsift.operators.first_rows import newest_landings, newest_walk
 
 OBJECT_ENTITIES = ("commit", "repository", "pull_request", "user")
 PAGED_ENTITIES = ("commit_comments", "pull_commits", "pull_comments", "issue_comments", "pull_reviews")
@@ -36,13 +36,14 @@ def entity_items(
 ) -> DataFrame:
     """One row per list element, placed by (page, pos): entity, parent, ``item`` and, with a schema, ``data``.
 
-    Paged entities take all pages, and a page that is no list is one element;
-    a single-page entity takes page 1, and there anything but a list is empty.
+    Paged entities take all pages of the newest walk through the list (pages
+    that never landed are passed over); a page that is no list is one element; a
+    single-page entity takes page 1, and there anything but a list is empty.
     """
     _check(entities, PAGED_ENTITIES + SINGLE_PAGE_ENTITIES)
     paged = F.col("entity").isin(*PAGED_ENTITIES)
     kept = pages.filter(F.col("entity").isin(*entities) & (paged | (F.col("page") == 1)))
-    kept = newest_landings(kept, "entity", "parent", "page")
+    kept = newest_walk(kept, "entity", "parent")
     if not raw:
         kept = kept.filter(F.col("status") == 200)
     rows = kept.select(
