@@ -82,12 +82,15 @@ def follow_length(frame: DataFrame, length: str | None, text: str = "text") -> D
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the shared one of the session's settings; below a local one only where none is set, as in tests.
+    """A new folder below the shared one of the session's settings; below a local one only where none is set and the
+    master is local, as in tests. On a cluster without a shared folder it refuses: executors do not see each other's disks.
 
     Spark's own file system removes it when the application ends.
     """
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if top is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         top = tempfile.mkdtemp(prefix="runsift-")
         spark.sparkContext.setCheckpointDir(top)
     folder = f"{top}/llm-{uuid.uuid4().hex}"
