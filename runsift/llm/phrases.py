@@ -7,11 +7,12 @@ lowest score counts (ties: smallest k). A candidate is dropped where it lies ins
 
 Counting is level by level. A phrase of L words can only reach LEAST where both of its parts of L-1 words do, so level L
 counts only such phrases: no count below the threshold is lost, and phrases that cannot reach it are never shuffled.
-Within a task, counts sit in a shallow trie: word ids per task, a first level per (lang, first word), and below it a hash
-container of the following word ids. A container that bursts past BURST entries, or all of them when the task holds
-MOST_HELD entries, is spilled whole, as a run sorted by phrase; Spark merges the runs of all tasks by a partial and a final
-aggregation. The frequent set of the level below reaches the tasks as a broadcast when it holds at most MOST_BROADCAST
-phrases, else each occurrence is checked by joins.
+Within a task, each batch of texts is cut and its words numbered by Arrow; the phrases of the level are rows of word
+ids, counted exactly by sorting them (NumPy), which groups them by lang and first word, the first level of a word-id
+trie, with the following ids below it. Each batch spills its counts as one sorted run; Spark merges the runs of all
+tasks by a partial and a final aggregation. The frequent phrases of the level below reach the tasks as sorted 64-bit
+hashes (a broadcast, when there are at most MOST_BROADCAST of them; else each occurrence is checked by joins): a hash
+only lets a phrase be counted, so a collision costs a count and never loses one.
 
 Defined cases: null or empty texts add nothing; a text of one piece without separators is one piece. An empty table or
 no candidate gives no rows. Equal scores and counts are ordered by phrase (UTF-8 bytes). Other columns are ignored.
@@ -22,7 +23,10 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,9 +35,6 @@ from runsift.llm.frames import settled
 LEAST = 100
 LONGEST = 5
 TOP = 2000
-#: Entries of one container before it spills; entries of all containers of a task before all spill.
-BURST = 1 << 16
-MOST_HELD = 1 << 20
 #: Frequent phrases of a level sent to every task at most; beyond, occurrences are checked by joins.
 MOST_BROADCAST = 2_000_000
 
@@ -50,87 +51,98 @@ def pieces(text: str | None) -> Iterator[list[str]]:
             yield words
 
 
-class Trie:
-    """Counts of phrases under a shallow trie of word ids: (lang, first word) -> container {following ids: count}."""
-
-    def __init__(self) -> None:
-        self.ids: dict[str, int] = {}
-        self.words: list[str] = []
-        self.nodes: dict[tuple[str, int], dict[tuple[int, ...], int]] = {}
-        self.held = 0
-
-    def add(self, lang: str, words: list[str]) -> list[tuple[str, str, int]]:
-        """Count one phrase; what spills on the way comes back."""
-        ids = []
-        for w in words:
-            i = self.ids.get(w)
-            if i is None:
-                i = self.ids[w] = len(self.words)
-                self.words.append(w)
-            ids.append(i)
-        key = (lang, ids[0])
-        box = self.nodes.setdefault(key, {})
-        rest = tuple(ids[1:])
-        if rest not in box:
-            self.held += 1
-        box[rest] = box.get(rest, 0) + 1
-        if len(box) >= BURST:
-            return self.spill(key)
-        if self.held >= MOST_HELD:
-            return self.spill_all()
-        return []
-
-    def spill(self, key) -> list[tuple[str, str, int]]:
-        """One subtree as a run sorted by phrase."""
-        box = self.nodes.pop(key)
-        self.held -= len(box)
-        lang, first = key
-        head = self.words[first]
-        run = [(lang, " ".join([head, *(self.words[i] for i in rest)]), count) for rest, count in box.items()]
-        run.sort(key=lambda t: t[1].encode())
-        return run
-
-    def spill_all(self) -> list[tuple[str, str, int]]:
-        out = []
-        for key in sorted(self.nodes, key=lambda k: (k[0], self.words[k[1]].encode())):
-            out.extend(self.spill(key))
-        return out
+_SEED = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(31))
+    x = x * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+def word_hashes(words) -> np.ndarray:
+    """A 64-bit hash per word, alike in every task and in the driver."""
+    return np.array([xxhash.xxh3_64_intdigest(w.encode()) for w in words], dtype=np.uint64)
+
+
+def gram_hashes(hashes: np.ndarray) -> np.ndarray:
+    """Hashes of phrases from a matrix of word hashes, one phrase a row; used only to pass over phrases that cannot be
+    frequent, so that a collision costs a count, never a phrase."""
+    out = np.full(len(hashes), _SEED, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(hashes.shape[1]):
+            out = _mix(out * np.uint64(31) + hashes[:, k])
+    return out
+
+
+def phrase_hash(lang: str, phrase: str) -> int:
+    words = word_hashes(phrase.split(" "))
+    return int(gram_hashes(words[None, :])[0] ^ np.uint64(xxhash.xxh3_64_intdigest(lang.encode())))
+
+
+def batch_runs(langs: pa.Array, texts: pa.Array, size: int, frequent: np.ndarray | None) -> pa.RecordBatch:
+    """(lang, phrase, c) of the phrases of `size` words in a batch, as runs sorted by their word ids under each first
+    word; with `frequent` (sorted hashes of frequent phrases of size-1 words), only phrases whose two parts are there."""
+    # A fresh copy: string kernels read the offsets of a sliced array wrongly.
+    texts = pc.ascii_lower(pc.fill_null(pa.concat_arrays([texts.cast(pa.large_string())]), ""))
+    cut = pc.split_pattern_regex(texts, r"[.,;:!?\n\x0b\x0c\r]")
+    piece_doc = pc.list_parent_indices(cut)
+    split = pc.split_pattern_regex(pc.list_flatten(cut), r"[ \t]+")
+    word_piece = np.asarray(pc.list_parent_indices(split))
+    words = pc.list_flatten(split)
+    full = np.asarray(pc.greater(pc.binary_length(words), 0).fill_null(False))
+    words, word_piece = words.filter(pa.array(full)), word_piece[full]
+    empty = pa.RecordBatch.from_arrays([pa.array([], pa.string()), pa.array([], pa.string()), pa.array([], pa.int64())], schema=_ARROW)
+    if len(words) < size:
+        return empty
+    coded = pc.dictionary_encode(words)
+    ids = np.asarray(coded.indices, dtype=np.int64)
+    vocab = coded.dictionary
+    doc_of_word = np.asarray(piece_doc)[word_piece]
+    starts = np.arange(len(ids) - size + 1)
+    same = word_piece[starts] == word_piece[starts + size - 1]
+    starts = starts[same]
+    lang_codes = pc.dictionary_encode(pc.fill_null(pa.concat_arrays([langs.cast(pa.string())]), "und"))
+    lang_of = np.asarray(lang_codes.indices, dtype=np.int64)[doc_of_word[starts]]
+    grams = np.stack([ids[starts + k] for k in range(size)], axis=1) if len(starts) else np.zeros((0, size), np.int64)
+    if frequent is not None and size > 1 and len(grams):
+        word_h = word_hashes(vocab.to_pylist())
+        lang_h = word_hashes(lang_codes.dictionary.to_pylist())[lang_of]
+        hashed = word_h[grams]
+        keep = np.isin(gram_hashes(hashed[:, :-1]) ^ lang_h, frequent) & np.isin(gram_hashes(hashed[:, 1:]) ^ lang_h, frequent)
+        grams, lang_of = grams[keep], lang_of[keep]
+    if not len(grams):
+        return empty
+    # Sorted runs: by lang, then first word id (the trie's first level), then the ids that follow.
+    keyed = np.concatenate([lang_of[:, None], grams], axis=1)
+    found, counts = np.unique(keyed, axis=0, return_counts=True)
+    parts = [vocab.take(pa.array(found[:, k + 1])) for k in range(size)]
+    phrase = parts[0] if size == 1 else pc.binary_join_element_wise(*[p.cast(pa.string()) for p in parts], " ")
+    lang = lang_codes.dictionary.take(pa.array(found[:, 0])).cast(pa.string())
+    return pa.RecordBatch.from_arrays([lang, phrase.cast(pa.string()), pa.array(counts, pa.int64())], schema=_ARROW)
 
 
 def _count_level(docs: DataFrame, size: int, frequent) -> DataFrame:
-    """(lang, phrase, f) of phrases of `size` words; with `frequent`, a set of (lang, phrase) of size-1 words, only phrases
-    whose two parts of size-1 words are in it."""
+    """(lang, phrase, f) of phrases of `size` words; with `frequent`, a broadcast of sorted hashes of the frequent
+    phrases of size-1 words, only phrases whose two parts of size-1 words are among them."""
     schema = "lang string, phrase string, c long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None if frequent is None else frequent.value
-        trie = Trie()
-        out: list[tuple[str, str, int]] = []
-
-        def emit(rows):
-            out.extend(rows)
-
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for words in pieces(text):
-                    for i in range(len(words) - size + 1):
-                        gram = words[i : i + size]
-                        if held is not None and size > 1:
-                            if (lang, " ".join(gram[:-1])) not in held or (lang, " ".join(gram[1:])) not in held:
-                                continue
-                        emit(trie.add(lang, gram))
-                if len(out) >= 1 << 16:
-                    yield pa.RecordBatch.from_pylist([dict(zip(("lang", "phrase", "c"), r, strict=True)) for r in out], schema=_ARROW)
-                    out.clear()
-        emit(trie.spill_all())
-        if out:
-            yield pa.RecordBatch.from_pylist([dict(zip(("lang", "phrase", "c"), r, strict=True)) for r in out], schema=_ARROW)
+            for low in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(low, _ROWS)
+                out = batch_runs(part.column(0), part.column(1), size, held)
+                if out.num_rows:
+                    yield out
 
     runs = docs.mapInArrow(run, schema)
     return runs.groupBy("lang", "phrase").agg(F.sum("c").alias("f"))
 
 
 _ARROW = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("c", pa.int64())])
+#: Texts worked on at once in a task.
+_ROWS = 512
 
 
 def _parts(frame: DataFrame, words: str = "phrase") -> DataFrame:
@@ -151,7 +163,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
         if count == 0:
             break
         if count <= MOST_BROADCAST:
-            shared = spark.sparkContext.broadcast({(r[0], r[1]) for r in below.collect()})
+            shared = spark.sparkContext.broadcast(np.unique(np.array([phrase_hash(r[0], r[1]) for r in below.toLocalIterator()], dtype=np.uint64)))
             found = _count_level(docs, size, shared)
         else:  # too many to send: count all, then keep phrases whose parts are frequent, by joins
             found = _parts(_count_level(docs, size, None))

@@ -49,7 +49,7 @@ def test_small_table_equals_plain_count(spark, monkeypatch):
     assert len(want) > 10
     assert found(collocations(docs, least=20)) == want
     monkeypatch.setattr(phrases, "MOST_BROADCAST", 0)  # parts checked by joins
-    monkeypatch.setattr(phrases, "BURST", 4)  # containers spill early
+    monkeypatch.setattr(phrases, "_ROWS", 3)  # many small runs per task
     assert found(collocations(docs, least=20)) == want
 
 
