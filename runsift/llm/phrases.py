@@ -7,10 +7,10 @@ lowest score counts (ties: smallest k). A candidate is dropped where it lies ins
 
 Counting is level by level. A phrase of L words can only reach LEAST where both of its parts of L-1 words do, so level L
 counts only such phrases: no count below the threshold is lost, and phrases that cannot reach it are never shuffled.
-Within a task, each batch of texts is cut and its words numbered by Arrow; the phrases of the level are rows of word
-ids, counted exactly by sorting them (NumPy), which groups them by lang and first word, the first level of a word-id
-trie, with the following ids below it. Each batch spills its counts as one sorted run; Spark merges the runs of all
-tasks by a partial and a final aggregation. The frequent phrases of the level below reach the tasks as sorted 64-bit
+Within a task, each batch of texts is cut by its bytes (NumPy) and its words numbered by Arrow; the phrases of the level
+are rows of word ids, written as one number each and counted exactly by sorting these (NumPy), which groups them by lang
+and first word, the first level of a word-id trie, with the following ids below it. Each batch spills its counts as one
+sorted run; Spark merges the runs of all tasks by a partial and a final aggregation. The frequent phrases of the level below reach the tasks as sorted 64-bit
 hashes (a broadcast, when there are at most MOST_BROADCAST of them; else each occurrence is checked by joins): a hash
 only lets a phrase be counted, so a collision costs a count and never loses one.
 
@@ -26,11 +26,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from runsift.llm.frames import settled
+from runsift.llm.frames import give_back, settled, slices
+from runsift.llm.words import LOWER, byte_set, hashes, prefix_sums, spans, text_bytes
 
 LEAST = 100
 LONGEST = 5
@@ -41,6 +41,9 @@ MOST_BROADCAST = 2_000_000
 _CUT = re.compile(r"[.,;:!?\n\x0b\x0c\r]")
 _SPACE = re.compile(r"[ \t]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: Bytes that end a piece, and bytes of words.
+_CUTS = byte_set(b".,;:!?\n\x0b\x0c\r")
+_WORDS = ~_CUTS & ~byte_set(b" \t")
 
 
 def pieces(text: str | None) -> Iterator[list[str]]:
@@ -60,89 +63,162 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def word_hashes(words) -> np.ndarray:
-    """A 64-bit hash per word, alike in every task and in the driver."""
-    return np.array([xxhash.xxh3_64_intdigest(w.encode()) for w in words], dtype=np.uint64)
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash per word, alike in every task."""
+    data, offsets = text_bytes(words)
+    return hashes(prefix_sums(data), offsets[:-1], offsets[1:])
 
 
 def gram_hashes(hashes: np.ndarray) -> np.ndarray:
     """Hashes of phrases from a matrix of word hashes, one phrase a row; used only to pass over phrases that cannot be
     frequent, so that a collision costs a count, never a phrase."""
-    out = np.full(len(hashes), _SEED, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(hashes.shape[1]):
-            out = _mix(out * np.uint64(31) + hashes[:, k])
-    return out
+    return _gram_hashes([hashes[:, k] for k in range(hashes.shape[1])])
 
 
-def phrase_hash(lang: str, phrase: str) -> int:
-    words = word_hashes(phrase.split(" "))
-    return int(gram_hashes(words[None, :])[0] ^ np.uint64(xxhash.xxh3_64_intdigest(lang.encode())))
+def _gram_hashes(words: list[np.ndarray]) -> np.ndarray:
+    out = np.full(len(words[0]), _SEED, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for column in words:
+            out = _mix(out * np.uint64(31) + column)
+    return out
 
 
-def batch_runs(langs: pa.Array, texts: pa.Array, size: int, frequent: np.ndarray | None) -> pa.RecordBatch:
+def phrase_hashes(langs: pa.Array, phrases: pa.Array) -> np.ndarray:
+    """`gram_hashes` of phrases of equally many words, with their langs."""
+    if not len(phrases):
+        return np.zeros(0, np.uint64)
+    words = pc.list_flatten(pc.split_pattern(phrases, " "))
+    return gram_hashes(word_hashes(words).reshape(len(phrases), -1)) ^ word_hashes(langs)
+
+
+class Frequent:
+    """Sorted hashes of frequent phrases, with a table of their first bits that passes over most of the others."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = hashes
+        bits = min(25, max(16, (16 * len(hashes)).bit_length()))
+        self.shift = np.uint64(64 - bits)
+        self.first = np.zeros(1 << bits, bool)
+        self.first[hashes >> self.shift] = True
+
+    def holds(self, hashed: np.ndarray) -> np.ndarray:
+        found = self.first[hashed >> self.shift]
+        if len(self.hashes):
+            near = hashed[found]
+            found[found] = self.hashes[np.minimum(np.searchsorted(self.hashes, near), len(self.hashes) - 1)] == near
+        return found
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """All words of texts (null: empty), lower-cased, with the number of the text and of the piece that holds each.
+
+    Separators are single bytes of ASCII, so that words of whole UTF-8 characters are cut byte by byte."""
+    data, offsets = text_bytes(texts)
+    found = spans(data, offsets, _WORDS)
+    ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(found.ends - found.starts)])
+    words = pa.LargeStringArray.from_buffers(len(found.starts), pa.py_buffer(ends), pa.py_buffer(LOWER[data[_WORDS[data]]]))
+    return words, found.rows, found.rows + np.searchsorted(np.flatnonzero(_CUTS[data]), found.starts)
+
+
+def _counted_rows(columns: list[np.ndarray], sizes: list[int]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows, sorted, of columns of numbers below `sizes`, and how often each occurs."""
+    code, limit = columns[0].astype(np.int64), sizes[0]
+    steps: list[tuple[int, np.ndarray | None]] = []
+    for column, size in zip(columns[1:], sizes[1:], strict=True):
+        seen = None
+        if limit * size >= 1 << 63:
+            seen, code = np.unique(code, return_inverse=True)
+            limit = len(seen)
+        steps.append((size, seen))
+        code = code * size + column
+        limit *= size
+    code.sort()
+    begins = np.flatnonzero(np.concatenate([np.ones(1, bool), code[1:] != code[:-1]]))
+    counts = np.diff(np.append(begins, len(code)))
+    code = code[begins]
+    out = []
+    for size, seen in reversed(steps):
+        code, column = np.divmod(code, size)
+        out.append(column)
+        if seen is not None:
+            code = seen[code]
+    return [code, *reversed(out)], counts
+
+
+def batch_runs(langs: pa.Array, texts: pa.Array, size: int, frequent: Frequent | None) -> pa.RecordBatch:
     """(lang, phrase, c) of the phrases of `size` words in a batch, as runs sorted by their word ids under each first
-    word; with `frequent` (sorted hashes of frequent phrases of size-1 words), only phrases whose two parts are there."""
-    # A fresh copy: string kernels read the offsets of a sliced array wrongly.
-    texts = pc.ascii_lower(pc.fill_null(pa.concat_arrays([texts.cast(pa.large_string())]), ""))
-    cut = pc.split_pattern_regex(texts, r"[.,;:!?\n\x0b\x0c\r]")
-    piece_doc = pc.list_parent_indices(cut)
-    split = pc.split_pattern_regex(pc.list_flatten(cut), r"[ \t]+")
-    word_piece = np.asarray(pc.list_parent_indices(split))
-    words = pc.list_flatten(split)
-    full = np.asarray(pc.greater(pc.binary_length(words), 0).fill_null(False))
-    words, word_piece = words.filter(pa.array(full)), word_piece[full]
+    word; with `frequent` (phrases of size-1 words), only phrases whose two parts are there."""
+    words, text, piece = split_words(texts)
     empty = pa.RecordBatch.from_arrays([pa.array([], pa.string()), pa.array([], pa.string()), pa.array([], pa.int64())], schema=_ARROW)
     if len(words) < size:
         return empty
     coded = pc.dictionary_encode(words)
-    ids = np.asarray(coded.indices, dtype=np.int64)
-    vocab = coded.dictionary
-    doc_of_word = np.asarray(piece_doc)[word_piece]
-    starts = np.arange(len(ids) - size + 1)
-    same = word_piece[starts] == word_piece[starts + size - 1]
-    starts = starts[same]
+    ids, vocab = np.asarray(coded.indices), coded.dictionary
     lang_codes = pc.dictionary_encode(pc.fill_null(pa.concat_arrays([langs.cast(pa.string())]), "und"))
-    lang_of = np.asarray(lang_codes.indices, dtype=np.int64)[doc_of_word[starts]]
-    grams = np.stack([ids[starts + k] for k in range(size)], axis=1) if len(starts) else np.zeros((0, size), np.int64)
-    if frequent is not None and size > 1 and len(grams):
-        word_h = word_hashes(vocab.to_pylist())
-        lang_h = word_hashes(lang_codes.dictionary.to_pylist())[lang_of]
-        hashed = word_h[grams]
-        keep = np.isin(gram_hashes(hashed[:, :-1]) ^ lang_h, frequent) & np.isin(gram_hashes(hashed[:, 1:]) ^ lang_h, frequent)
-        grams, lang_of = grams[keep], lang_of[keep]
-    if not len(grams):
+    lang_of = np.asarray(lang_codes.indices)[text]
+    keep = piece[: len(ids) - size + 1] == piece[size - 1 :]
+    if frequent is not None and size > 1:
+        word_h, lang_h = word_hashes(vocab), word_hashes(lang_codes.dictionary)
+        places = len(ids) - size + 2  # of parts; those over the end of a piece are not asked for
+        held = frequent.holds(_gram_hashes([word_h[ids[k : k + places]] for k in range(size - 1)]) ^ lang_h[lang_of[:places]])
+        keep &= held[:-1] & held[1:]
+    starts = np.flatnonzero(keep)
+    if not len(starts):
         return empty
+    grams = [ids[starts + k] for k in range(size)]
+    if size > 2:  # few words are left: number them anew, for shorter codes
+        used = np.zeros(len(vocab), bool)
+        for column in grams:
+            used[column] = True
+        number = np.cumsum(used) - 1
+        vocab, grams = vocab.filter(pa.array(used)), [number[column] for column in grams]
     # Sorted runs: by lang, then first word id (the trie's first level), then the ids that follow.
-    keyed = np.concatenate([lang_of[:, None], grams], axis=1)
-    found, counts = np.unique(keyed, axis=0, return_counts=True)
-    parts = [vocab.take(pa.array(found[:, k + 1])) for k in range(size)]
-    phrase = parts[0] if size == 1 else pc.binary_join_element_wise(*[p.cast(pa.string()) for p in parts], " ")
-    lang = lang_codes.dictionary.take(pa.array(found[:, 0])).cast(pa.string())
+    found, counts = _counted_rows([lang_of[starts], *grams], [len(lang_codes.dictionary), *[len(vocab)] * size])
+    parts = [vocab.take(pa.array(column)) for column in found[1:]]
+    phrase = parts[0] if size == 1 else pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
+    lang = lang_codes.dictionary.take(pa.array(found[0]))
     return pa.RecordBatch.from_arrays([lang, phrase.cast(pa.string()), pa.array(counts, pa.int64())], schema=_ARROW)
 
 
+def runs(batches: Iterator[pa.RecordBatch], size: int, frequent: Frequent | None) -> Iterator[pa.RecordBatch]:
+    """`batch_runs` of batches of (lang, text), in slices of at most _ROWS texts and about _BYTES."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0)
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(np.asarray(lengths), dtype=np.int64)])
+        for low, high in slices(ends, _BYTES, _ROWS):
+            part = batch.slice(low, high - low)
+            out = batch_runs(part.column(0), part.column(1), size, frequent)
+            if out.num_rows:
+                yield out
+
+
 def _count_level(docs: DataFrame, size: int, frequent) -> DataFrame:
     """(lang, phrase, f) of phrases of `size` words; with `frequent`, a broadcast of sorted hashes of the frequent
     phrases of size-1 words, only phrases whose two parts of size-1 words are among them."""
-    schema = "lang string, phrase string, c long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None if frequent is None else frequent.value
+        yield from runs(batches, size, None if frequent is None else Frequent(frequent.value))
+        give_back()
+
+    counted = docs.mapInArrow(run, "lang string, phrase string, c long")
+    return counted.groupBy("lang", "phrase").agg(F.sum("c").alias("f"))
+
+
+def _hashed(below: DataFrame) -> np.ndarray:
+    """Sorted `phrase_hashes` of (lang, phrase)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(low, _ROWS)
-                out = batch_runs(part.column(0), part.column(1), size, held)
-                if out.num_rows:
-                    yield out
+            yield pa.RecordBatch.from_arrays([pa.array(phrase_hashes(*batch.columns).view(np.int64))], names=["hash"])
 
-    runs = docs.mapInArrow(run, schema)
-    return runs.groupBy("lang", "phrase").agg(F.sum("c").alias("f"))
+    found = below.select("lang", "phrase").mapInArrow(run, "hash long").toArrow().column("hash")
+    return np.unique(found.to_numpy().view(np.uint64))
 
 
 _ARROW = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("c", pa.int64())])
-#: Texts worked on at once in a task.
-_ROWS = 512
+#: Texts worked on at once in a task, and their bytes; a longer text stands alone.
+_ROWS = 16_384
+_BYTES = 8 << 20
 
 
 def _parts(frame: DataFrame, words: str = "phrase") -> DataFrame:
@@ -163,7 +239,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
         if count == 0:
             break
         if count <= MOST_BROADCAST:
-            shared = spark.sparkContext.broadcast(np.unique(np.array([phrase_hash(r[0], r[1]) for r in below.toLocalIterator()], dtype=np.uint64)))
+            shared = spark.sparkContext.broadcast(_hashed(below))
             found = _count_level(docs, size, shared)
         else:  # too many to send: count all, then keep phrases whose parts are frequent, by joins
             found = _parts(_count_level(docs, size, None))

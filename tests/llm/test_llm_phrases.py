@@ -2,10 +2,14 @@
 
 import collections
 
+import random
+
 import duckdb
+import numpy as np
+import pyarrow as pa
 
 from runsift.llm import phrases
-from runsift.llm.phrases import collocations, pieces
+from runsift.llm.phrases import _counted_rows, collocations, phrase_hashes, pieces, split_words
 from runsift.llm.queries import SQL
 
 SMALL = "/root/testdata/sf0.001/documents.parquet"
@@ -75,3 +79,35 @@ def test_sql_equals_spark(spark):
     sql = SQL["op12_phrase_collocations"].replace("f >= 100", "f >= 20")
     want = sorted(tuple(r) for r in con.sql(f"SELECT lang, rank, phrase, a, l, r, n, score, k FROM ({sql})").fetchall())
     assert want and found(collocations(spark.read.parquet(SMALL), least=20)) == want
+
+
+def test_words_are_cut_by_bytes():
+    some = random.Random(5)
+    texts = [None, "", ".", "Ab", " Ab", "ab c ", "\u00c4B\u00df.\u00c4b\t\u4e2d\u6587;x\x0by\x0cz\rq\u00a0r"]
+    texts += ["".join(some.choices("aB\u00e9\u4e2d\U0001f600 \t.,\n-", k=some.randrange(30))) for _ in range(500)]
+    column = pa.array(["x y", *texts])[1:]
+    words, text, piece = split_words(column)
+    found = collections.defaultdict(list)
+    for word, i, k in zip(words.to_pylist(), text.tolist(), piece.tolist(), strict=True):
+        found[i, k].append(word)
+    assert [(i, w) for (i, _), w in sorted(found.items())] == [(i, w) for i, t in enumerate(texts) for w in pieces(t)]
+    assert len(split_words(pa.array([None, ""], pa.string()))[0]) == 0
+
+
+def test_rows_of_numbers_are_counted_whatever_their_size():
+    some = np.random.default_rng(3)
+    for sizes in ([2, 3, 4], [3, 1 << 30, 1 << 30, 1 << 30, 1 << 30, 1 << 30]):
+        columns = [some.choice(some.integers(0, s, 2), 500) for s in sizes]
+        rows, counts = _counted_rows(columns, sizes)
+        want = sorted(collections.Counter(zip(*(c.tolist() for c in columns), strict=True)).items())
+        assert list(zip(zip(*(c.tolist() for c in rows), strict=True), counts.tolist(), strict=True)) == want
+
+
+def test_a_batch_of_many_texts_is_one_run():
+    """What each slice of 512 texts told again went through the shuffle once more."""
+    texts = ["some words here. some words there"] * 3000 + ["some long words here"] * 100
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array(texts)], names=["lang", "text"])
+    below = pa.array(["some", "words", "here"])
+    held = phrases.Frequent(np.unique(phrase_hashes(pa.array(["en"] * 3), below)))
+    (run,) = phrases.runs(iter([batch]), 2, held)
+    assert dict(zip(run.column(1).to_pylist(), run.column(2).to_pylist(), strict=True)) == {"some words": 6000, "words here": 3100}
